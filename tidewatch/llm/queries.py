@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from .exact_dedup import OP9_SQL, op9_exact_dedup
+from .language_id import op8_language_id
 from .mixing import op5_block_mix
 from .sharding import op10_stratified_shards
+from .url_filter import op1_url_filter
 
 QUERIES = {
+    "op1_url_filter": op1_url_filter,
     "op5_block_mix": op5_block_mix,
+    "op8_language_id": op8_language_id,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_stratified_shards": op10_stratified_shards,
 }
