@@ -5,12 +5,14 @@ from __future__ import annotations
 from .exact_dedup import OP9_SQL, op9_exact_dedup
 from .language_id import op8_language_id
 from .mixing import op5_block_mix
+from .quality import op6_quality_qda
 from .sharding import op10_stratified_shards
 from .url_filter import op1_url_filter
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op5_block_mix": op5_block_mix,
+    "op6_quality_qda": op6_quality_qda,
     "op8_language_id": op8_language_id,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_stratified_shards": op10_stratified_shards,
