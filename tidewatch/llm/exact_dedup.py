@@ -34,10 +34,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         d = d.withColumn("hash", F.sha2(F.col("text"), 256))
 
     lens = d.groupBy("len").count().filter("count > 1").select("len")
-    prefix = F.xxhash64(F.substring("text", 1, prefix_chars)).alias("prefix")
-    prefixes = (d.join(lens, "len", "left_semi").select("len", prefix)
+    # the prefix hash is taken below the joins: what they shuffle, if they do, is narrow
+    rows = d.select("id", "len", F.xxhash64(F.substring("text", 1, prefix_chars)).alias("prefix"),
+                    *(["hash"] if hash_all else ["text"]))
+    prefixes = (rows.select("len", "prefix").join(lens, "len", "left_semi")
                 .groupBy("len", "prefix").count().filter("count > 1").select("len", "prefix"))
-    rows = d.select("id", "len", prefix, *(["hash"] if hash_all else ["text"]))
     left = rows.join(prefixes, ["len", "prefix"], "left_semi")
     if not hash_all:
         left = left.withColumn("hash", F.sha2(F.col("text"), 256))
