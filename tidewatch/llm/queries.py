@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .exact_dedup import OP9_SQL, op9_exact_dedup
+from .html_extract import op4_html_extract
 from .language_id import op8_language_id
 from .mixing import op5_block_mix
 from .quality import op6_quality_qda
@@ -11,6 +12,7 @@ from .url_filter import op1_url_filter
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op4_html_extract": op4_html_extract,
     "op5_block_mix": op5_block_mix,
     "op6_quality_qda": op6_quality_qda,
     "op8_language_id": op8_language_id,
