@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .decontamination import op2_string_tiling
 from .exact_dedup import OP9_SQL, op9_exact_dedup
 from .html_extract import op4_html_extract
 from .language_id import op8_language_id
@@ -13,6 +14,7 @@ from .url_filter import op1_url_filter
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op2_string_tiling": op2_string_tiling,
     "op4_html_extract": op4_html_extract,
     "op5_block_mix": op5_block_mix,
     "op6_quality_qda": op6_quality_qda,
