@@ -1,11 +1,60 @@
-"""From documents to training shards, in five stages."""
+"""From documents to training shards, in five stages.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir), works on all its predecessor kept
+and, but for the last, returns the columns of ``docs``. In ``run`` the stages
+are chained through checkpoints in the shared folder, since each reads its
+input more than once.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tidewatch.llm import decontamination, language_id, mixing, near_dedup, sharding
+from tidewatch.llm.common import cut, read
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language (no text, or no letter in it) go."""
+    return language_id.keep_identified(docs, language_id.language_model(docs))
+
+
+def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near-duplicates the document with the least id stays."""
+    return near_dedup.keep_one(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold an item of the benchmark go; a null text holds none."""
+    return decontamination.keep_clean(docs, read(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often, and as far, as the mix takes their words."""
+    return mixing.mix_documents(docs)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document of the mix with its shard and its slot there."""
+    return sharding.shard_documents(docs)
+
+
+STAGES = [
+    ("language ID", identify_language),
+    ("MinHash near-dedup", remove_near_duplicates),
+    ("benchmark decontamination", decontaminate),
+    ("mixing sources to target weights", mix_sources),
+    ("sharding", shard),
+]
+
+#: The stages are not expressible in SQL; tests hold them against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = cut(docs)
     return docs

@@ -7,7 +7,7 @@ import tempfile
 import zipfile
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: One word: a run without ASCII white space.
@@ -27,6 +27,15 @@ def pick(df: DataFrame, **names: str) -> DataFrame:
     return flat.select(*[F.col(f"_in{cols.index(c)}").alias(a) for a, c in names.items()])
 
 
+def positional(df: DataFrame) -> tuple[DataFrame, dict[str, str], list[Column]]:
+    """(df with unambiguous names, those names by the exact old ones, columns that restore the old ones)."""
+    flat = df.toDF(*[f"_p{i}" for i in range(len(df.columns))])
+    at: dict[str, str] = {}
+    for i, c in enumerate(df.columns):
+        at.setdefault(c, f"_p{i}")
+    return flat, at, [F.col(f"_p{i}").alias(c) for i, c in enumerate(df.columns)]
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder of the cluster; one of our own only where none is set."""
     conf = spark.sparkContext._jsc.sc().getCheckpointDir()

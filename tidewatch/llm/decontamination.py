@@ -228,3 +228,8 @@ def op2_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contaminated documents, with the items found in them."""
     out = contaminated_pairs(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "item_id", F.round("coverage", 6).alias("coverage"), "covered", F.size("tiles").alias("n_tiles"))
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+    """The documents that no item contaminates; columns stay as they are."""
+    return docs.filter(~contaminated(docs[docs.columns.index(text_col)], load_benchmark(benchmark)))

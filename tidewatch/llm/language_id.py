@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pick, read, ship, slices
+from .common import pick, positional, read, ship, slices
 
 BUCKET_BITS, ALPHA = 16, 0.5
 #: Documents of each language that are learned from, in expectation; languages at most.
@@ -182,5 +182,5 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_identified(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """The documents that have a language; ``und`` ones go. Columns stay as they are."""
-    cols = docs.columns
-    return predict_language(docs, model).filter(F.col("lang_id.lang_pred") != "und").select(*cols)
+    flat, at, back = positional(docs)
+    return predict_language(flat, model, at["text"]).filter(F.col("lang_id.lang_pred") != "und").select(*back)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD, cut, pick, read, ship
+from .common import WORD, cut, pick, positional, read, ship
 
 WEIGHTS, BUDGET, MOST = (5, 2, 1), 1.5, 2.0
 BLOCK_WORDS, OUT_SHARDS, SEED = 256, 64, 7
@@ -150,8 +151,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     ship(spark)
     d = pick(docs, id=id_col, source=source_col, text=text_col)
     d = d.select("id", "source", size_of(F.col("text")).alias("size"))
+    d = cut(d)
     # rows that repeat an id are told apart by a number among themselves
-    d = cut(d.withColumn("row", F.row_number().over(W.partitionBy("id").orderBy("source", "size"))))
+    repeated = d.groupBy("id").count().filter("count > 1").limit(1).count()
+    d = d.withColumn("row", F.row_number().over(W.partitionBy("id").orderBy("source", "size")) if repeated else F.lit(1))
     by_source = {r["source"]: int(r["n"]) for r in d.groupBy("source").agg(F.sum("size").alias("n")).collect()}
     want = targets(by_source, weights, budget, most)
     names = sorted((s for s in by_source if s is not None)) + [None] * (None in by_source)
@@ -204,6 +207,47 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     return sizes.select("id", "row", "source", "size", "source_size", "target"), mixed
 
 
+def mix_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
+                  n_chars_col: str = "n_chars", **options) -> DataFrame:
+    """The mix as documents: a row for each time (epoch) that any words of a
+    document are taken, with the columns of ``docs``. A document that is taken
+    whole keeps its text; of one that a block's end cuts, the taken stretches
+    stay, joined by line feeds, and ``n_chars_col`` is counted anew. Texts
+    without words are not in the mix."""
+    _, mixed = mix(docs, id_col, source_col, text_col, **options)
+    parts = mixed.groupBy(F.col("id").alias("_id"), F.col("row").alias("_row"), "epoch").agg(
+        F.sort_array(F.collect_list(F.struct("start", "words"))).alias("_parts"))  # as many as the text has blocks
+    flat, at, back = positional(docs)
+    key = F.col(at[id_col]).eqNullSafe(F.col("_id"))
+    if flat.groupBy(at[id_col]).count().filter("count > 1").limit(1).count():
+        size = size_of(F.col(at[text_col]))
+        flat = flat.withColumn("_r", F.row_number().over(W.partitionBy(at[id_col]).orderBy(at[source_col], size)))
+        key = key & (F.col("_r") == F.col("_row"))
+
+    @F.pandas_udf("string")
+    def stretch(text: pd.Series, parts: pd.Series) -> pd.Series:
+        return pd.Series([cut_words(t, [(p["start"], p["words"]) for p in ps]) for t, ps in zip(text, parts)])
+
+    out = flat.join(parts, key).withColumn(at[text_col], stretch(F.col(at[text_col]), F.col("_parts")))
+    if n_chars_col in at:
+        out = out.withColumn(at[n_chars_col], F.length(at[text_col]).cast(dict(flat.dtypes)[at[n_chars_col]]))
+    return out.select(*back)
+
+
+def cut_words(text: str, parts: list[tuple[int, int]]) -> str:
+    """The stretches of ``text`` from word ``start`` on, ``words`` long, joined by line feeds."""
+    runs: list[list[int]] = []
+    for start, n in sorted(parts):
+        if runs and runs[-1][1] == start:
+            runs[-1][1] = start + n
+        else:
+            runs.append([start, start + n])
+    spans = [m.span() for m in re.finditer(WORD, text)]
+    if runs == [[0, len(spans)]]:
+        return text
+    return "\n".join(text[spans[a][0]:spans[b - 1][1]] for a, b in runs)
+
+
 def op5_block_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes, mixed = mix(read(spark, sf_dir, "documents"))
     taken = mixed.groupBy(F.col("id").alias("i"), F.col("row").alias("r")).agg(F.sum("words").alias("taken"))

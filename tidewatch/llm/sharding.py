@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut, pick, read
+from .common import cut, pick, positional, read
 
 SHARDS, SEED = 8, 20240607
 #: Ranges that a source's shuffle keys are cut into for ranking, and ranges of
@@ -78,6 +78,26 @@ def interleave_shards(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, i
                       F.col("crc").alias("text_crc32"), "shard", (F.col("pos") - first).cast("bigint").alias("slot"))
 
 
+def shard_documents(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, id_col: str = "doc_id",
+                    source_col: str = "source", text_col: str = "text") -> DataFrame:
+    """``docs`` with the columns shard and slot of ``interleave_shards``.
+
+    Texts meet their places on (id, size, CRC); rows that agree in all three
+    take the places of their group one each, so each place is taken once.
+    """
+    flat, at, back = positional(docs)
+    ident, text = at[id_col], F.coalesce(at[text_col], F.lit(""))
+    flat = flat.withColumns({"_size": (F.octet_length(text) + 1).cast("bigint"), "_crc": F.crc32(text)})
+    flat = flat.withColumn("_n", F.row_number().over(W.partitionBy(ident, "_size", "_crc").orderBy(F.lit(1))))
+    a = interleave_shards(docs, shards, seed, id_col, source_col, text_col).select(
+        F.col(id_col).alias("_id"), F.col("size").alias("_s"), F.col("text_crc32").alias("_c"), "shard", "slot")
+    a = a.withColumn("_m", F.row_number().over(W.partitionBy("_id", "_s", "_c").orderBy("shard", "slot")))
+    # the numbers are compared as a condition, not as a key: the windows' partitioning serves the join
+    on = F.col(ident).eqNullSafe(F.col("_id")) & (F.col("_size") == F.col("_s")) & (F.col("_crc") == F.col("_c"))
+    out = flat.join(a, on & (F.col("_n") - F.col("_m") == 0))
+    return out.select(*back, "shard", "slot")
+
+
 def op10_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = interleave_shards(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
