@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..runtime import checkpoint_dir, cut, ship  # noqa: F401
+
 #: One word: a run without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
-_shipped: set[str] = set()
-
 
 def pick(df: DataFrame, **names: str) -> DataFrame:
     """Select exactly the columns ``names`` maps to, under the aliases given.
@@ -36,41 +33,6 @@ def positional(df: DataFrame) -> tuple[DataFrame, dict[str, str], list[Column]]:
     return flat, at, [F.col(f"_p{i}").alias(c) for i, c in enumerate(df.columns)]
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; one of our own only where none is set."""
-    conf = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if conf.isDefined():
-        return conf.get()
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="tidewatch-ckpt-"))
-    return spark.sparkContext._jsc.sc().getCheckpointDir().get()
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once per application, so that Python
-    workers can import it wherever the driver was started from."""
-    app = spark.sparkContext.applicationId
-    if app in _shipped:
-        return
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    pack = os.path.basename(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    path = os.path.join(tempfile.mkdtemp(prefix="tidewatch-zip-"), f"{pack}.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for folder, _, files in os.walk(os.path.join(root, pack)):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(folder, f)
-                    z.write(full, os.path.relpath(full, root))
-    spark.sparkContext.addPyFile(path)
-    _shipped.add(app)
-
-
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -172,10 +172,13 @@ def fit_trees(urls: list[str], labels: np.ndarray, trees: int = 30, depth: int =
 
 def train_url_model(labelled: DataFrame, url_col: str = "url", label_col: str = "label",
                     max_train: int = MAX_TRAIN, seed: int = SEED) -> UrlModel:
-    """Fit on the ``max_train`` labelled URLs that come first in a seeded order
-    (label 1: unwanted). Rows without URL or label don't count."""
-    rows = (pick(labelled, url=url_col, label=label_col).dropna()
-            .orderBy(F.xxhash64(F.lit(seed), "url"), "url", "label").limit(max_train).collect())
+    """Fit on labelled URLs (label 1: unwanted): on all up to ``max_train``, else
+    on those with the lowest seeded hashes, ``max_train`` in expectation.
+    Rows without URL or label don't count."""
+    d = pick(labelled, url=url_col, label=label_col).dropna()
+    draw = F.pmod(F.xxhash64(F.lit(seed), "url"), F.lit(1 << 30))
+    rows = d.filter(draw < int((1 << 30) * min(1.0, max_train / max(1, d.count())))).collect()
+    rows.sort(key=lambda r: (r["url"], r["label"]))
     return fit_trees([r["url"] for r in rows], np.array([r["label"] for r in rows], float))
 
 
