@@ -170,13 +170,14 @@ def fit_trees(urls: list[str], labels: np.ndarray, trees: int = 30, depth: int =
     return m
 
 
-def train_url_model(labelled: DataFrame, url_col: str = "url", label_col: str = "label",
+def train_url_model(labelled: DataFrame, url_col: str = "url", label_col: str = "label", key_col: str = "page_id",
                     max_train: int = MAX_TRAIN, seed: int = SEED) -> UrlModel:
     """Fit on labelled URLs (label 1: unwanted): on all up to ``max_train``, else
-    on those with the lowest seeded hashes, ``max_train`` in expectation.
-    Rows without URL or label don't count."""
-    d = pick(labelled, url=url_col, label=label_col).dropna()
-    draw = F.pmod(F.xxhash64(F.lit(seed), "url"), F.lit(1 << 30))
+    on those whose keys have the lowest seeded hashes, ``max_train`` in
+    expectation: keys, not URLs, as one URL may be a third of all rows.
+    Rows without URL, label or key don't count."""
+    d = pick(labelled, url=url_col, label=label_col, key=key_col).dropna()
+    draw = F.pmod(F.xxhash64(F.lit(seed), F.col("key").cast("string")), F.lit(1 << 30))
     rows = d.filter(draw < int((1 << 30) * min(1.0, max_train / max(1, d.count())))).collect()
     rows.sort(key=lambda r: (r["url"], r["label"]))
     return fit_trees([r["url"] for r in rows], np.array([r["label"] for r in rows], float))
@@ -210,11 +211,11 @@ def filter_urls(pages: DataFrame, model: UrlModel, rules: Sequence[tuple[str, st
                     F.coalesce("by.verdict", own).alias("verdict"), "score")
 
 
-def label_by_words(pages: DataFrame, url_col: str = "url", words: Sequence[str] = SPAM_WORDS) -> DataFrame:
+def label_by_words(pages: DataFrame, url_col: str = "url", key_col: str = "page_id", words: Sequence[str] = SPAM_WORDS) -> DataFrame:
     """Weakly labelled URLs: 1 if a word of the host, between dots and hyphens, is in ``words``."""
-    d = pick(pages, url=url_col).dropna()
+    d = pick(pages, url=url_col, key=key_col).dropna()
     tokens = F.split(host_of(F.col("url")), r"[.-]")
-    return d.select("url", F.arrays_overlap(tokens, F.array(*map(F.lit, words))).cast("int").alias("label"))
+    return d.select(F.col("key").alias(key_col), F.col("url").alias(url_col), F.arrays_overlap(tokens, F.array(*map(F.lit, words))).cast("int").alias("label"))
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
