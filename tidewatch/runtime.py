@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,30 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Scratch:
+    """Tables written to the shared checkpoint folder. Unlike checkpoints they
+    are columnar and carry no constraints of the plans that made them, which
+    otherwise grow from round to round of a loop; and they can be dropped."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.root, self.made = spark, f"{checkpoint_dir(spark)}/tidewatch-{uuid.uuid4().hex}", 0
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        self.made += 1
+        path = f"{self.root}/{self.made}"
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        out._scratch_path = path
+        return out
+
+    def drop(self, *tables: DataFrame | None) -> None:
+        """Delete tables that nothing will read again."""
+        for t in tables:
+            if t is not None and (name := getattr(t, "_scratch_path", None)):
+                path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors once per application, so that Python
     workers can import it wherever the driver was started from."""
