@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..runtime import checkpoint_dir, cut, ship  # noqa: F401
+from ..runtime import Scratch, checkpoint_dir, cut, ship  # noqa: F401
 
 #: One word: a run without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
