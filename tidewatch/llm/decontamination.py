@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pick, read, ship
+from .common import pick, positional, read, ship
 
 #: Words of the shortest tile, and share of an item's words under tiles from which a document counts as contaminated.
 LEAST, COVERAGE = 5, 0.5
@@ -232,4 +232,5 @@ def op2_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents that no item contaminates; columns stay as they are."""
-    return docs.filter(~contaminated(docs[docs.columns.index(text_col)], load_benchmark(benchmark)))
+    flat, at, back = positional(docs)
+    return flat.filter(~contaminated(F.col(at[text_col]), load_benchmark(benchmark))).select(*back)

@@ -143,10 +143,11 @@ def classify(found: list[Block]) -> list[bool]:
     First pass: boilerplate elements and blocks that are links for more than
     half are out; blocks of ``LONG_CHARS`` or more with enough stop words, or
     in an article or main element, are in; the rest is undecided. Second
-    pass: an undecided block takes the label of the nearest decided block of
-    its own article or main element (of the page, if it is in none), on a tie
-    the good one. Where none is decided it is in, unless the page has an
-    article or main element and the block is outside.
+    pass: an undecided block takes the label of the nearest decided block, on
+    a tie the good one. In an article or main element only its own good
+    blocks count: link lists and adverts inside it say nothing of the short
+    paragraphs next to them. Where nothing is decided a block is in, unless
+    the page has an article or main element and the block is outside.
     """
     first: list[bool | None] = []
     for b in found:
@@ -174,7 +175,7 @@ def classify(found: list[Block]) -> list[bool]:
             if first[i] is None:
                 if home in last:
                     near[i].append((abs(last[home][0] - i), last[home][1]))
-            elif not (home and found[i].dropped):
+            elif first[i] or not home:
                 last[home] = (i, first[i])
     return [f if f is not None else min(near[i], key=lambda x: (x[0], not x[1]))[1] if near[i] else True
             for i, f in enumerate(first)]
