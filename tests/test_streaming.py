@@ -9,7 +9,7 @@ from tidewatch.config import Config, ConfigError
 from tidewatch.plans.state import StateStore
 from tidewatch.schema import METRICS
 from tidewatch.sources.sinks import Delivery, FileSink, LogSink, NoopSink, kafka_options, probe, sinks_of
-from tidewatch.streaming import WindowRunner, start_off_hours_stream, start_window_stream
+from tidewatch.streaming import WindowRunner, run_with_restarts, start_off_hours_stream, start_window_stream
 
 START = datetime(2026, 8, 17, 21)
 
@@ -68,6 +68,20 @@ def test_failures_are_bounded(spark, tmp_path):
     assert r.counters.query_failures == 2
 
 
+def test_restarts_are_bounded(spark, tmp_path):
+    made = []
+
+    def make():
+        made.append(1)
+        if len(made) < 3:
+            raise OSError("store is down")
+        return runner(spark, tmp_path, rows(1))
+
+    assert run_with_restarts(make, attempts=2, sleep=lambda s: None, until_waiting=True).processed_windows == 1
+    with pytest.raises(OSError):
+        run_with_restarts(lambda: (_ for _ in ()).throw(OSError("down")), attempts=2, sleep=lambda s: None)
+
+
 def test_off_hours_stream(spark, tmp_path):
     src = tmp_path / "in"
     spark.createDataFrame(rows(), METRICS).repartition(1).write.parquet(str(src))

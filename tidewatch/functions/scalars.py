@@ -74,6 +74,16 @@ def learning_cap(context_high: Column, baseline: Column, current: Column) -> Col
     return F.when(context_high > 0, context_high).when(baseline > 0, baseline).otherwise(F.greatest(current, F.lit(0).cast("bigint")))
 
 
+def pair_key(src: Column, dst: Column, protocol: Column) -> Column:
+    """The pair as one text; state and joins use the three columns instead."""
+    return F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in (src, dst, protocol)])
+
+
+def pair_hash(src: Column, dst: Column, protocol: Column) -> Column:
+    """A compact 64-bit key where one is wanted; exact state is kept by the three columns."""
+    return F.xxhash64(src, dst, protocol)
+
+
 def log_id(day: Column, device_id: str, sequence: Column) -> Column:
     """32 digits: date, six of the device, eighteen of the sequence."""
     return F.concat(F.date_format(day, "yyyyMMdd"), F.lit(device_id), F.lpad(sequence.cast("string"), 18, "0"))

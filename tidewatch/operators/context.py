@@ -68,13 +68,16 @@ def history_uncapped(hist: DataFrame, cfg: Config) -> DataFrame:
     counts for, so all is one aggregation by (context, day); only days on
     which the context was seen are kept.
     """
-    later = F.explode(F.sequence(F.lit(1), F.lit(cfg.retention_days)))
-    dealt = hist.select(*CONTEXT, F.col("day").alias("past"), "measure", "value", "n", later.alias("k"))
-    dealt = dealt.withColumn("day", F.date_add("past", F.col("k")))
-    seen = hist.select(*CONTEXT, "day").distinct()
-    dealt = dealt.join(seen, [*CONTEXT, "day"], "left_semi")
-    days = dealt.groupBy(*CONTEXT, "day").agg(F.count_distinct("past").alias("days"))
-    return days.join(histogram_stats(dealt, [*CONTEXT, "day"], cfg), [*CONTEXT, "day"]).withColumn("usable", F.col("days") >= cfg.min_days)
+    def later(d: DataFrame) -> DataFrame:
+        k = F.explode(F.sequence(F.lit(1), F.lit(cfg.retention_days))).alias("k")
+        return d.select("*", k).withColumn("day", F.date_add("day", F.col("k"))).drop("k")
+
+    keys = [*CONTEXT, "day"]
+    seen = hist.select(*keys).distinct()
+    days = later(seen).groupBy(*keys).agg(F.count(F.lit(1)).alias("days")).join(seen, keys, "left_semi")
+    # one shuffle by (context, day) serves the join, the running sums and the result
+    dealt = later(hist).repartition(*keys).join(days, keys)
+    return histogram_stats(dealt, [*keys, "days"], cfg).withColumn("usable", F.col("days") >= cfg.min_days)
 
 
 def quantile(counts: dict[int, int], q: float) -> int:

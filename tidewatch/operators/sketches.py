@@ -51,6 +51,11 @@ class SpaceSaving:
             if key in self.at and self.at[key][0] == n:
                 return key
 
+    def lower_bound(self, key) -> int:
+        """What the key has been given for certain."""
+        held = self.at.get(key)
+        return max(0, held[0] - held[1]) if held else 0
+
     def merge(self, other: SpaceSaving) -> None:
         """Add the other sketch's estimates as weights."""
         for key, (n, _, when) in sorted(other.at.items(), key=lambda kv: (-kv[1][0], str(kv[0]))):

@@ -140,3 +140,17 @@ class WindowRunner:
             if did != "processed":
                 self.sleep(max(1, waits[did]))
         return self.counters
+
+
+def run_with_restarts(make: Callable[[], WindowRunner], attempts: int = 20, delay_seconds: float = 10,
+                      sleep: Callable[[float], None] = time.sleep, **options) -> Counters:
+    """Run, and start anew from the last complete version after a failure, up to ``attempts`` times."""
+    for left in range(attempts, -1, -1):
+        try:
+            return make().run(**options)
+        except Exception:
+            if not left:
+                raise
+            LOG.exception("run failed, %d restarts left", left)
+            sleep(delay_seconds)
+    raise AssertionError
