@@ -13,7 +13,7 @@ from ..config import Config
 from ..operators import alerts as al
 from ..operators import context as ctx
 from ..operators import large, offhours, pairs, windows
-from ..runtime import cut
+from ..runtime import Scratch
 from ..schema import CONTEXT, CONTEXT_STATE, PAIR, PAIR_STATE, STATS
 from .backfill import Result
 
@@ -103,20 +103,23 @@ def _learn_pairs(plan: DataFrame, known: DataFrame, start: datetime, end: dateti
 
 def run_range(metrics: DataFrame, cfg: Config, on_window: Callable[[datetime, DataFrame], None] | None = None,
               state: State | None = None, windows_: list[datetime] | None = None) -> Result:
-    """All windows of ``metrics`` in order, state kept between them by checkpoints."""
+    """All windows of ``metrics`` in order, state kept between them in scratch tables."""
     spark = metrics.sparkSession
+    scratch = Scratch(spark)
     rows = windows.assign(metrics, cfg)
     state = state or State.empty(spark)
     if windows_ is None:
         windows_ = [r["win"] for r in rows.select("win").distinct().orderBy("win").collect()]
-    out = None
+    paths, given, schema = [], state, None
     for start in windows_:
-        found, state = run_window(metrics, start, state, cfg)
-        found = cut(found)
-        state = replace(state, pairs=cut(state.pairs), contexts=cut(state.contexts))
+        found, new = run_window(metrics, start, state, cfg)
+        found, old = scratch.cut(found), state
+        state = replace(state, pairs=scratch.cut(new.pairs), contexts=scratch.cut(new.contexts), cursor=new.cursor)
+        if old is not given:
+            scratch.drop(old.pairs, old.contexts)
         if on_window:
             on_window(start, found)
-        out = found if out is None else out.unionByName(found)
-    if out is None:
-        out, _ = run_window(metrics, datetime(1970, 1, 1), state, cfg)
+        paths, schema = [*paths, found._scratch_path], found.schema
+    # one scan of all windows' tables, however many there are
+    out = spark.read.schema(schema).parquet(*paths) if paths else run_window(metrics, datetime(1970, 1, 1), state, cfg)[0]
     return Result(out, state.pairs, state.contexts, windows.summary(rows), "sequential")

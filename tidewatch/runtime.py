@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,16 +40,21 @@ class Scratch:
         self.made += 1
         path = f"{self.root}/{self.made}"
         df.write.parquet(path)
+        if self.made == 1:
+            self._fs(self.root, lambda fs, p: fs.deleteOnExit(p))
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out
 
     def drop(self, *tables: DataFrame | None) -> None:
-        """Delete tables that nothing will read again."""
+        """Delete tables that nothing will read again; the rest goes when the application ends."""
         for t in tables:
             if t is not None and (name := getattr(t, "_scratch_path", None)):
-                path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
-                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+                self._fs(name, lambda fs, p: fs.delete(p, True))
+
+    def _fs(self, name: str, act: Callable) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+        act(path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path)
 
 
 def ship(spark: SparkSession) -> None:
