@@ -117,7 +117,7 @@ def noise(n, seed, days=4):
     r = random.Random(seed)
     out = []
     for i in range(n):
-        t = datetime(2026, 8, 13) + timedelta(minutes=r.randrange(days) * 1440 + r.randrange(3) * 60 + r.randrange(60))
+        t = datetime(2026, 8, 13) + timedelta(minutes=r.randrange(days) * 1440 + r.randrange(2) * 60 + r.randrange(60))
         b = int(r.paretovariate(1.1) * 100)
         out.append(row(t, b, 1 + b // 90, i, src=f"s{r.randrange(4)}", dst=f"d{r.randrange(2)}", proto=r.choice(["TCP", "UDP ", ""]), conn=r.randrange(4)))
     return out
@@ -132,17 +132,26 @@ def plain(alerts):
 
 def test_backfill_equals_window_by_window_and_splits(spark):
     cfg = Config(window_minutes=60, slot_minutes=60, bytes_quantile=0.9, pkts_quantile=0.9, topn=3, sketch_capacity=8, min_samples=2)
-    d = frame(spark, noise(160, 5, days=3)).cache()
+    d = frame(spark, noise(120, 5, days=3)).cache()
     batch = run_backfill(d, cfg)
     wins = [r["win"] for r in windows.assign(d, cfg).select("win").distinct().orderBy("win").collect()]
-    a = run_range(d, cfg, windows_=wins[:4])
-    b = run_range(d, cfg, state=State(a.pair_state, a.histograms), windows_=wins[4:])
+    a = run_range(d, cfg, windows_=wins[:3])
+    b = run_range(d, cfg, state=State(a.pair_state, a.histograms), windows_=wins[3:])
     assert batch.mode == "parallel"
     assert plain(batch.alerts) == plain(a.alerts.unionByName(b.alerts)) and len(plain(batch.alerts)) > 5
     state = lambda s: sorted((r["src_ip"], r["dst_ip"], r["protocol"], round(r["ema_bytes"], 6), r["samples"], r["last_seen"]) for r in s.collect())
     assert state(batch.pair_state) == state(b.pair_state)
 
 
+def test_the_limit_on_pairs_is_kept(spark):
+    cfg = Config(window_minutes=60, slot_minutes=60, max_pairs=1_000, offhours_enabled=False)
+    t = datetime(2026, 8, 17, 3)
+    d = frame(spark, [row(t + timedelta(seconds=i), 100 + i, 1, i, src=f"s{i}") for i in range(1_005)])
+    got = run_backfill(d, cfg)
+    kept = {r["src_ip"] for r in got.pair_state.collect()}
+    assert got.mode == "sequential" and kept == {f"s{i}" for i in range(5, 1_005)}
+
+
 def test_empty_input(spark):
     d = frame(spark, [])
     assert run_backfill(d, Config()).alerts.count() == 0

@@ -7,7 +7,7 @@ import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, fields
 
-#: Setting name, field of Config, kind.
+#: Setting names, each with its field of Config and its kind.
 KEYS = (
     ("window.size.minutes", "window_minutes", int), ("business.timezone", "timezone", str),
     ("source.start.mode", "start_mode", str), ("source.start.time", "start_time", str),

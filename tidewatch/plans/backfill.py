@@ -52,8 +52,11 @@ def run_backfill(metrics: DataFrame, cfg: Config) -> Result:
     parts, mode = [], "parallel"
     states = hist = None
     if cfg.large_enabled:
-        seen = large.candidates(rows, cfg).select(*PAIR).distinct().limit(cfg.max_pairs + 1).count() if cfg.pair_enabled else 0
-        if seen > cfg.max_pairs:
+        def pairs_of(d: DataFrame) -> int:
+            return d.select(*PAIR).distinct().limit(cfg.max_pairs + 1).count()
+
+        # pairs of all rows bound those of candidates and need no ranking
+        if cfg.pair_enabled and pairs_of(rows) > cfg.max_pairs and pairs_of(large.candidates(rows, cfg)) > cfg.max_pairs:
             from .incremental import run_range
 
             return run_range(metrics, cfg)
