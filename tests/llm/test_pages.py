@@ -28,6 +28,17 @@ def test_blocks(html, text):
     assert hx.main_text(html) == text
 
 
+@pytest.mark.parametrize("html,text", [
+    (f"<div class=content><p>{LONG}</p></div><div class=comments><article>{LONG} a</article></div>", LONG),
+    *((f"<div><p>{LONG}</p></div><{t}><div><article><p>{LONG} teaser</p></article></div></{t}>", LONG) for t in ("aside", "nav", "header", "footer")),
+    (f"<aside><article><p>{LONG} teaser</p></article></aside><article><p>{LONG}</p></article>", LONG),
+    (f"<div><p>{LONG}</p></div><article>a short teaser</article>", f"{LONG}\na short teaser"),
+    (f"<nav><ul><li>menu<article><p>{LONG}</p></article>", LONG),
+])
+def test_articles_in_boilerplate_are_not_the_main_text(html, text):
+    assert hx.main_text(html) == text
+
+
 def test_long_pages_take_linear_time():
     import time
 

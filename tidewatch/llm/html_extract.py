@@ -41,6 +41,15 @@ _NAMED = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""",
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+class Element:
+    """An open element that holds blocks; its labels are known when all ends of elements are."""
+
+    def __init__(self, tag: str, own: bool, parent: Element | None) -> None:
+        self.tag, self.own, self.parent = tag, own, parent
+        self.closed = False  # by an end tag of its own
+        self.bad, self.firm, self.home = own, False, 0
+
+
 @dataclass
 class Block:
     text: str
@@ -62,20 +71,25 @@ def blocks(page: str) -> list[Block]:
     """The page's blocks of text in page order. Inline elements and ``<br>``
     do not end a block; raw-text elements and comments hold no text. A tag
     left open ends with its container, and an article or main element also
-    ends any open element of boilerplate."""
-    out: list[Block] = []
-    stack: list[tuple[str, bool, int]] = []
+    ends any element of boilerplate that has no end tag of its own."""
+    out: list[tuple[str, int, Element | None]] = []
+    stack: list[Element] = []
+    elements: list[Element] = []
     text: list[str] = []
-    link_from, homes, anchor, links = 0, 0, False, 0
+    homes, anchor, links = 0, False, 0
 
     def flush() -> None:
         nonlocal text, links
         if text:
             joined = " ".join("".join(text).split())
             if joined:
-                out.append(Block(joined, links, bool(stack and stack[-1][1]), stack[-1][2] if stack else 0))
+                out.append((joined, links, stack[-1] if stack else None))
         text, links = [], 0
 
+    def enter(tag: str, own: bool) -> None:
+        stack.append(Element(tag, own, stack[-1] if stack else None))
+        elements.append(stack[-1])
+
     def say(raw: str) -> None:
         nonlocal links
         if raw:
@@ -114,27 +128,31 @@ def blocks(page: str) -> list[Block]:
         if tag in HOLDS:
             if close:
                 for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == tag:
+                    if stack[i].tag == tag:
+                        stack[i].closed = True
                         del stack[i:]
                         break
             elif not attrs.endswith("/"):
-                bad, home = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
-                own = _boilerplate(tag, attrs)
-                if tag in ("article", "main") and not own:
-                    # reader comments are often articles of their own inside a comment list
-                    if bad and home == 0 and not any(s[1] and s[0] not in DROP_TAGS for s in stack):
-                        bad = False
-                    if not home:
-                        homes += 1
-                        home = homes
-                stack.append((tag, bad or own, home))
+                enter(tag, _boilerplate(tag, attrs))
         elif not close and attrs and tag in BLOCK_TAGS and _boilerplate(tag, attrs):
-            stack.append((tag, True, stack[-1][2] if stack else 0))
-        elif close and any(s[0] == tag for s in stack):
-            while stack.pop()[0] != tag:
-                pass
+            enter(tag, True)
+        elif close and any(e.tag == tag for e in stack):
+            while stack[-1].tag != tag:
+                stack.pop()
+            stack.pop().closed = True
     flush()
-    return out
+
+    for e in elements:  # parents come first
+        up = e.parent
+        if up:
+            e.bad, e.home = e.own or up.bad, up.home
+            # not ended by an article: reader comments and teasers are often articles inside closed boilerplate
+            e.firm = up.firm or (up.own and (up.closed or up.tag not in DROP_TAGS))
+        if e.tag in ("article", "main") and not e.own and not e.home:
+            e.bad = e.firm
+            homes += 1
+            e.home = homes
+    return [Block(t, k, bool(e and e.bad), e.home if e else 0) for t, k, e in out]
 
 
 def classify(found: list[Block]) -> list[bool]:
@@ -146,8 +164,9 @@ def classify(found: list[Block]) -> list[bool]:
     pass: an undecided block takes the label of the nearest decided block, on
     a tie the good one. In an article or main element only its own good
     blocks count: link lists and adverts inside it say nothing of the short
-    paragraphs next to them. Where nothing is decided a block is in, unless
-    the page has an article or main element and the block is outside.
+    paragraphs next to them. Where nothing is decided a block is in. Blocks
+    outside are out if an article or main element holds a long block that is
+    in; comments and teasers that are dropped or short say nothing of them.
     """
     first: list[bool | None] = []
     for b in found:
@@ -162,7 +181,7 @@ def classify(found: list[Block]) -> list[bool]:
             words = _WORD.findall(b.text.lower())
             dense = sum(w in STOP_WORDS for w in words) >= STOP_DENSITY * max(1, len(words))
             first.append(True if dense else None)
-    if any(b.home for b in found):
+    if any(f and b.home for f, b in zip(first, found)):
         first = [False if f is not False and not b.home else f for f, b in zip(first, found)]
 
     # nearest decided block on either side, within the same home and outside of boilerplate
