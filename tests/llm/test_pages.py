@@ -39,6 +39,21 @@ def test_articles_in_boilerplate_are_not_the_main_text(html, text):
     assert hx.main_text(html) == text
 
 
+LINKS = "<ul>" + "<li><a href=x>a link</a></li>" * 5 + "</ul>"
+KEYWORDS = "shoes boots sandals sneakers trainers loafers slippers clogs moccasins brogues oxfords derbies"
+
+
+@pytest.mark.parametrize("html,text", [
+    (f"<article><p>{LONG}</p>{LINKS}<p>Buy now!</p>{LINKS}</article>", LONG),
+    (f"<article><p>{LONG}</p>{LINKS}<p>{KEYWORDS}</p>{LINKS}</article>", LONG),
+    (f"<main><p>{LONG}</p>{LINKS}<p>{LONG}</p><p>short</p></main>", f"{LONG}\n{LONG}\nshort"),
+    (f"<main><h1>T</h1><p>short</p>{LINKS}</main>", "T\nshort"),
+    (f"<article><p>{KEYWORDS}</p></article><p>outside</p>", KEYWORDS),
+])
+def test_both_passes_inside_articles(html, text):
+    assert hx.main_text(html) == text
+
+
 def test_long_pages_take_linear_time():
     import time
 

@@ -32,6 +32,7 @@ BLOCK_TAGS = frozenset(
 HOLDS = frozenset("div section article main aside nav header footer form menu dialog table ul ol dl fieldset figure details body "
                   "button select noscript template iframe object svg canvas audio video map".split())
 LONG_CHARS, STOP_DENSITY, LINK_DENSITY = 70, 0.12, 0.5
+BAD_FAR = 3
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
@@ -155,19 +156,8 @@ def blocks(page: str) -> list[Block]:
     return [Block(t, k, bool(e and e.bad), e.home if e else 0) for t, k, e in out]
 
 
-def classify(found: list[Block]) -> list[bool]:
-    """Which blocks are article text.
-
-    First pass: boilerplate elements and blocks that are links for more than
-    half are out; blocks of ``LONG_CHARS`` or more with enough stop words, or
-    in an article or main element, are in; the rest is undecided. Second
-    pass: an undecided block takes the label of the nearest decided block, on
-    a tie the good one. In an article or main element only its own good
-    blocks count: link lists and adverts inside it say nothing of the short
-    paragraphs next to them. Where nothing is decided a block is in. Blocks
-    outside are out if an article or main element holds a long block that is
-    in; comments and teasers that are dropped or short say nothing of them.
-    """
+def _passes(found: list[Block], inside: bool) -> list[bool]:
+    """Both passes over the blocks of one article or main element, or over all outside of any."""
     first: list[bool | None] = []
     for b in found:
         n = len(b.text)
@@ -175,29 +165,49 @@ def classify(found: list[Block]) -> list[bool]:
             first.append(False)
         elif n < LONG_CHARS:
             first.append(None)
-        elif b.home:
-            first.append(True)
         else:
             words = _WORD.findall(b.text.lower())
             dense = sum(w in STOP_WORDS for w in words) >= STOP_DENSITY * max(1, len(words))
             first.append(True if dense else None)
-    if any(f and b.home for f, b in zip(first, found)):
-        first = [False if f is not False and not b.home else f for f, b in zip(first, found)]
 
-    # nearest decided block on either side, within the same home and outside of boilerplate
     n = len(found)
-    near: list[list[tuple[int, bool]]] = [[] for _ in range(n)]
+    near: list[list[tuple[int, bool]]] = [[] for _ in range(n)]  # (distance, is it bad) of the decided blocks on either side
     for order in (range(n), range(n - 1, -1, -1)):
-        last: dict[int, tuple[int, bool]] = {}
+        last = {True: -1} if inside and order.step > 0 else {}
         for i in order:
-            home = found[i].home
             if first[i] is None:
-                if home in last:
-                    near[i].append((abs(last[home][0] - i), last[home][1]))
-            elif first[i] or not home:
-                last[home] = (i, first[i])
-    return [f if f is not None else min(near[i], key=lambda x: (x[0], not x[1]))[1] if near[i] else True
-            for i, f in enumerate(first)]
+                near[i] += [(abs(i - at) * (1 if good or not inside else BAD_FAR), not good) for good, at in last.items()]
+            else:
+                last[first[i]] = i
+    return [f if f is not None else not min(near[i])[1] if near[i] else True for i, f in enumerate(first)]
+
+
+def classify(found: list[Block]) -> list[bool]:
+    """Which blocks are article text.
+
+    First pass: boilerplate elements and blocks that are links for more than
+    half are out; blocks of ``LONG_CHARS`` or more with enough stop words are
+    in; the rest is undecided. Second pass: an undecided block takes the label
+    of the nearest decided block, on a tie the good one. Where nothing is
+    decided a block is in.
+
+    The blocks of each article or main element go through both passes by
+    themselves, and so do those outside. The element is a feature: its start
+    counts as a good block, and bad blocks in it as ``BAD_FAR`` times as far.
+    Blocks outside are out if an article or main element holds a long block
+    that is in; comments and teasers that are dropped or short say nothing of
+    them.
+    """
+    homes: dict[int, list[int]] = {}
+    for i, b in enumerate(found):
+        homes.setdefault(b.home, []).append(i)
+    out = [False] * len(found)
+    for home, places in homes.items():
+        for i, good in zip(places, _passes([found[i] for i in places], home > 0)):
+            out[i] = good
+    if any(good and b.home and len(b.text) >= LONG_CHARS for good, b in zip(out, found)):
+        out = [good and b.home > 0 for good, b in zip(out, found)]
+    return out
 
 
 def main_text(page: str | None) -> str:
