@@ -39,6 +39,23 @@ def test_articles_in_boilerplate_are_not_the_main_text(html, text):
     assert hx.main_text(html) == text
 
 
+@pytest.mark.parametrize("quote", ["'", '"'])
+def test_long_attribute_values_are_read_whole(quote):
+    value = "{a: 1 > 0, b: <article><nav>}" * 2_000
+    page = f"<p>{LONG}</p><p data-x={quote}{value}{quote}>end</p><div data-x={quote}{value}{quote} class=ad><p>{LONG}</p></div>"
+    assert hx.main_text(page) == f"{LONG}\nend"
+
+
+@pytest.mark.parametrize("page", ["<p a='x' b=\"" * 40_001, "<p a=\"'" * 60_001 + ">", "<b " * 100_000, "<b a='" + "<b " * 100_000, "<p '>" * 50_001 + "<p \">" * 50_001,
+                                  "<div " + "a" * 400_000 + ">", "<div a='" + "b" * 400_000 + "=\">"])
+def test_odd_quotes_take_linear_time(page):
+    import time
+
+    t = time.time()
+    hx.main_text(page)
+    assert time.time() - t < 5
+
+
 LINKS = "<ul>" + "<li><a href=x>a link</a></li>" * 5 + "</ul>"
 KEYWORDS = "shoes boots sandals sneakers trainers loafers slippers clogs moccasins brogues oxfords derbies"
 

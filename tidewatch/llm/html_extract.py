@@ -36,9 +36,9 @@ BAD_FAR = 3
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]{0,20000}\"|'[^']{0,20000}')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?/][^>]*+>", re.S)
-_NAMED = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+    r"|<(/?)([a-zA-Z][^\s/>]*+)|<[!?/][^>]*+>", re.S)
+_SPECIAL = re.compile("[>\"']")
+_ATTR = re.compile(r"""([^\s"'>/=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))?+|"[^"]*+"|'[^']*+'""")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -62,12 +62,55 @@ class Block:
 def _boilerplate(tag: str, attrs: str) -> bool:
     if tag in DROP_TAGS:
         return True
-    for _, v in _NAMED.findall(attrs) if attrs else ():
-        if DROP_WORDS & set(re.split(r"[^a-z]+", v.lower())):
+    for name, v in _ATTR.findall(attrs) if attrs else ():
+        if v and name.lower() in ("class", "id", "role") and DROP_WORDS & set(re.split(r"[^a-z]+", v.lower())):
             return True
     return False
 
 
+class Tags:
+    """Where the tags of a page end, in linear time for all of them."""
+
+    def __init__(self, page: str) -> None:
+        self.page = page
+        self.specials = self.ends = (0, -1)  # (from, place): the next of its kind at or after any place between
+        self.lost: set[int] = set()  # quotes and ends of page from which no end of a tag is found
+        self.none: dict[str, int] = {}  # from where on a quote does not come again
+
+    def _special(self, at: int) -> int:
+        if not self.specials[0] <= at <= self.specials[1]:
+            m = _SPECIAL.search(self.page, at)
+            self.specials = (at, m.start() if m else len(self.page))
+        return self.specials[1]
+
+    def _first_end(self, at: int) -> int:
+        if not self.ends[0] <= at <= self.ends[1]:
+            end = self.page.find(">", at)
+            self.ends = (at, end if end >= 0 else len(self.page))
+        return self.ends[1]
+
+    def end(self, at: int) -> int:
+        """Place of the > that ends a tag with attributes from ``at`` on, or -1.
+        Quoted values may hold any >, whatever their length; where a quote is
+        never closed, it is the first >."""
+        page, n, i, seen = self.page, len(self.page), at, []
+        while True:
+            i = self._special(i)
+            if i < n and page[i] == ">":
+                return i
+            seen.append(i)
+            if i == n or i in self.lost or i >= self.none.get(page[i], n):
+                break
+            close = page.find(page[i], i + 1)
+            if close < 0:
+                self.none[page[i]] = i
+                break
+            i = close + 1
+        self.lost.update(seen)
+        first = self._first_end(at)
+        return first if first < n else -1
+
+
 def blocks(page: str) -> list[Block]:
     """The page's blocks of text in page order. Inline elements and ``<br>``
     do not end a block; raw-text elements and comments hold no text. A tag
@@ -101,16 +144,24 @@ def blocks(page: str) -> list[Block]:
 
     at = 0
     n = len(page)
+    tags = Tags(page)
     while at < n:
         m = _TOKEN.search(page, at)
         if m is None:
             say(page[at:])
             break
+        end = tags.end(m.end()) if m[2] else m.end()
+        if end < 0:  # no tag
+            say(page[at:m.start() + 1])
+            at = m.start() + 1
+            continue
         say(page[at:m.start()])
-        at = m.end()
-        close, tag, attrs = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
+        close, tag = m[1], m[2]
+        at = end
         if not tag:
             continue
+        attrs = page[m.end():end]
+        at += 1
         tag = tag.lower()
         if tag in RAW_TAGS:
             if not close and not attrs.endswith("/"):
