@@ -120,6 +120,22 @@ def test_near_against_brute_force(spark, small):
     assert all(r["kept"] == (r["doc_id"] == r["class_id"]) for r in got)
 
 
+def test_near_texts_that_repeat_lines(spark):
+    r, rows = random.Random(23), []
+    for g in range(12):
+        w = sentence(r, 104, [f"w{g}x{k}" for k in range(9_999)]).split()
+        line, head = w[-30:], w[:8]
+        for k, more in enumerate([w, w + 20 * line, w + (5 + g) * line, head * 9 + w]):
+            rows.append((10 * g + k, " ".join(more), "en", "a"))
+    rows += [(500, "spam " * 5, "en", "a"), (501, "spam " * 300, "en", "a"), (502, "spam " * 400, "en", "a"), (503, "eggs " * 300, "en", "a")]
+    d = spark.createDataFrame([(i, t, lg, s, len(t)) for i, t, lg, s in rows], DOCS)
+    got = {x["doc_id"]: x["class_id"] for x in nd.near_duplicates(d).collect()}
+    ids = [x[0] for x in rows]
+    want = classes([x[1] for x in rows], ids)
+    assert sum(i != c for i, c in zip(ids, want)) >= 38
+    assert [got[i] for i in ids] == want
+
+
 def test_near_with_plain_ids(spark):
     d = spark.createDataFrame([(i, t, lg, s, len(t)) for i, t, lg, s in near_corpus()], DOCS)
     rows = d.collect()
