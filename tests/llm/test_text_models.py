@@ -227,3 +227,14 @@ def test_contamination_query_against_brute_force(spark):
 def test_short_texts_match_nothing(text):
     b = dc.Bench([(1, "one two three four five six".split())], 5)
     assert b.matches(text, 0.5) == []
+
+
+def test_items_shorter_than_a_tile(spark):
+    texts = ["Who wrote Faust?", "they ask: who WROTE faust, and then more of it, and who wrote faust again", "who wrote", "who did write faust", None, "", "faust"]
+    d = spark.createDataFrame([(i, t, "en", "a", len(t or "")) for i, t in enumerate(texts)], DOCS)
+    bench = spark.createDataFrame([(1, "who wrote faust"), (2, "Who wrote Faust"), (3, "..."), (4, "one two three four five six")], "item_id long, text string")
+    for words in (dc.PASS_WORDS, 3):
+        got = dc.contaminated_pairs(clash(d), bench, pass_words=words).collect()
+        assert sorted((r["doc_id"], r["item_id"], r["coverage"], r["covered"], len(r["tiles"]), r["tiles"][0]["start"]) for r in got) == [
+            (0, 1, 1.0, 3, 1, 0), (0, 2, 1.0, 3, 1, 0), (1, 1, 1.0, 3, 1, 2), (1, 2, 1.0, 3, 1, 2)]
+    assert sorted(r["doc_id"] for r in dc.keep_clean(d, bench).collect()) == [2, 3, 4, 5, 6]

@@ -109,10 +109,29 @@ class Bench:
         owner = np.repeat(np.arange(len(hashes)), [len(h) for h in hashes])
         order = np.argsort(flat, kind="stable")
         self.seeds, self.owner = flat[order], owner[order]
+        self.short: dict[int, dict[tuple[int, ...], list[object]]] = {}  # items without a seed: length, words, names
+        for name, x in self.items:
+            if len(x) < least:
+                self.short.setdefault(len(x), {}).setdefault(tuple(x.tolist()), []).append(name)
 
     def matches(self, text: str | None, coverage: float) -> list[tuple[object, float, int, list[tuple[int, int, int]]]]:
         """(item, coverage, words covered, tiles) of the items whose coverage reaches the threshold."""
         ids = np.fromiter(map(self.vocabulary.get, ws := words(text), [0] * len(ws)), np.int64, len(ws))
+        return self._whole(ids) + self._tiled(ids, coverage)
+
+    def _whole(self, ids: np.ndarray) -> list[tuple[object, float, int, list[tuple[int, int, int]]]]:
+        """Items shorter than a seed, where all their words come in a run: one tile, the first."""
+        out = []
+        for n, items in self.short.items():
+            firsts = np.array(sorted({x[0] for x in items}), np.int64)
+            met: dict[tuple[int, ...], int] = {}
+            for p in np.flatnonzero(np.isin(ids[:max(0, len(ids) - n + 1)], firsts)).tolist():
+                if (run := tuple(ids[p:p + n].tolist())) in items:
+                    met.setdefault(run, p)
+            out += [(name, 1.0, n, [(p, 0, n)]) for run, p in met.items() for name in items[run]]
+        return out
+
+    def _tiled(self, ids: np.ndarray, coverage: float) -> list[tuple[object, float, int, list[tuple[int, int, int]]]]:
         if len(ids) < self.least or not len(self.seeds):
             return []
         known = np.convolve(ids > 0, np.ones(self.least, int), "valid") == self.least
@@ -152,14 +171,14 @@ def load_benchmark(benchmark: DataFrame, id_col: str = "item_id", text_col: str
                    pass_words: int = PASS_WORDS) -> list:
     """Broadcast parts of the benchmark, each of ``pass_words`` words or one item at most.
 
-    Items of fewer than ``least`` words can't be told from chance and are left out.
+    Items without words are left out.
     """
     spark = benchmark.sparkSession
     ship(spark)
     parts, held, size = [], [], 0
     for r in pick(benchmark, id=id_col, text=text_col).orderBy("id", "text").toLocalIterator():
         ws = words(r["text"])
-        if len(ws) < least:
+        if not ws:
             continue
         if held and size + len(ws) > pass_words:
             parts.append(spark.sparkContext.broadcast(Bench(held, least)))
@@ -185,8 +204,10 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     broadcast, in parts of ``pass_words`` words, a pass over the documents
     each; nothing is shuffled.
 
-    Null, empty and short texts have no row, nor have items of fewer than
-    ``least`` words. Repeated rows give their pairs again; extra columns are
+    Items of fewer than ``least`` words have no seed; they are found where all
+    their words come in a run, so an item of one word is found in every
+    document that holds it. Null and empty texts have no row, nor have items
+    without words. Repeated rows give their pairs again; extra columns are
     ignored; empty tables give an empty result.
     """
     d = pick(docs, id=id_col, text=text_col)
