@@ -1,3 +1,4 @@
+import collections
 import re
 
 import numpy as np
@@ -71,6 +72,31 @@ def test_both_passes_inside_articles(html, text):
     assert hx.main_text(html) == text
 
 
+def renamed(html, tags):
+    return re.sub(rf"<(/?)(?:{tags})\b", r"<\1div", html)
+
+
+def test_every_rule_decides(spark):
+    pages = [r["html"] for r in spark.read.parquet(f"{DATA}/pages.parquet").collect()]
+    count = collections.Counter()
+    for h in pages:
+        count.update(hx.first_pass(b)[0] for b in hx.blocks(h))
+        count.update("plain " + hx.first_pass(b)[0] for b in hx.blocks(renamed(h, "article|nav|footer")))
+    assert all(count[x] > 0 for x in ("boilerplate", "stop words", "short", "few stop words", "plain links", "plain stop words", "plain short"))
+    assert count["stop words"] > 1_000 and count["plain links"] > 1_000
+    # without its elements an article is found by the passes alone, and menus go by their links
+    assert sum(hx.main_text(h) == hx.main_text(renamed(h, "article")) for h in pages) >= 0.95 * len(pages)
+    for h in pages:
+        lines, plain = hx.main_text(h).split("\n"), hx.main_text(renamed(h, "article|nav")).split("\n")
+        assert lines == plain
+
+
+def test_headings_go_with_what_follows():
+    links = "<div>" + "<a href=x>some link</a><br>" * 9 + "</div>"
+    assert hx.main_text(f"{links}<div><h1>T</h1><p>one</p><p>two</p><p>{LONG}</p></div>{links}") == f"T\none\ntwo\n{LONG}"
+    assert hx.main_text(f"<p>{LONG} notice</p><article><p>{LONG}</p></article>") == LONG
+
+
 def test_long_pages_take_linear_time():
     import time
 

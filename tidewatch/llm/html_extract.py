@@ -32,7 +32,8 @@ BLOCK_TAGS = frozenset(
 HOLDS = frozenset("div section article main aside nav header footer form menu dialog table ul ol dl fieldset figure details body "
                   "button select noscript template iframe object svg canvas audio video map".split())
 LONG_CHARS, STOP_DENSITY, LINK_DENSITY = 70, 0.12, 0.5
-BAD_FAR = 3
+#: In the second pass: how much farther a block of another container is, one of an article from a block outside of it, and bad blocks inside one.
+WALL, OUTSIDE, BAD_FAR = 3, 20, 2
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
@@ -48,7 +49,7 @@ class Element:
     def __init__(self, tag: str, own: bool, parent: Element | None) -> None:
         self.tag, self.own, self.parent = tag, own, parent
         self.closed = False  # by an end tag of its own
-        self.bad, self.firm, self.home = own, False, 0
+        self.bad, self.firm, self.home, self.number = own, False, 0, 0
 
 
 @dataclass
@@ -57,6 +58,7 @@ class Block:
     links: int  # characters inside links
     dropped: bool  # in an element that never holds article text
     home: int  # number of the article or main element it is in, or 0
+    box: int = 0  # number of the container it is in, or 0
 
 
 def _boilerplate(tag: str, attrs: str) -> bool:
@@ -133,6 +135,7 @@ def blocks(page: str) -> list[Block]:
     def enter(tag: str, own: bool) -> None:
         stack.append(Element(tag, own, stack[-1] if stack else None))
         elements.append(stack[-1])
+        stack[-1].number = len(elements)
 
     def say(raw: str) -> None:
         nonlocal links
@@ -204,61 +207,87 @@ def blocks(page: str) -> list[Block]:
             e.bad = e.firm
             homes += 1
             e.home = homes
-    return [Block(t, k, bool(e and e.bad), e.home if e else 0) for t, k, e in out]
-
-
-def _passes(found: list[Block], inside: bool) -> list[bool]:
-    """Both passes over the blocks of one article or main element, or over all outside of any."""
-    first: list[bool | None] = []
-    for b in found:
-        n = len(b.text)
-        if b.dropped or b.links > LINK_DENSITY * n:
-            first.append(False)
-        elif n < LONG_CHARS:
-            first.append(None)
-        else:
-            words = _WORD.findall(b.text.lower())
-            dense = sum(w in STOP_WORDS for w in words) >= STOP_DENSITY * max(1, len(words))
-            first.append(True if dense else None)
-
-    n = len(found)
-    near: list[list[tuple[int, bool]]] = [[] for _ in range(n)]  # (distance, is it bad) of the decided blocks on either side
-    for order in (range(n), range(n - 1, -1, -1)):
-        last = {True: -1} if inside and order.step > 0 else {}
+    return [Block(t, k, bool(e and e.bad), e.home if e else 0, e.number if e else 0) for t, k, e in out]
+
+
+def first_pass(b: Block, home: bool = False) -> tuple[str, bool | None]:
+    """(rule that speaks, label) of a block by itself: False is out, True is in, None undecided.
+
+    ``home``: the page has an article or main element with a long block of article
+    text, and this block is outside of all such; it then takes more than its words to be in."""
+    n = len(b.text)
+    if b.dropped:
+        return "boilerplate", False
+    if b.links > LINK_DENSITY * n:
+        return "links", False
+    if n < LONG_CHARS:
+        return "short", None
+    words = _WORD.findall(b.text.lower())
+    if sum(w in STOP_WORDS for w in words) < STOP_DENSITY * max(1, len(words)):
+        return "few stop words", None
+    return "stop words", None if home else True
+
+
+def _second_pass(found: list[Block], first: list[bool | None], far: list[int], ends: tuple[bool | None, bool | None]) -> list[bool]:
+    """Undecided blocks take the label of the nearest decided one. ``far``: how much
+    farther each block is from the one before it; ``ends``: labels that the start and
+    the end of the blocks count as, if any. On a tie, and where nothing is decided, a block is in."""
+    place, at = [], 0
+    for i, b in enumerate(found):
+        at += 1 + (WALL if i and found[i - 1].box != b.box else 0) + far[i]
+        place.append(at)
+    out = list(first)
+    near: list[list[tuple[float, bool]]] = [[] for _ in found]  # (distance, is it bad)
+    for side, order in ((0, range(len(found))), (1, range(len(found) - 1, -1, -1))):
+        last = {} if ends[side] is None else {ends[side]: at + 1 if side else 0}
         for i in order:
             if first[i] is None:
-                near[i] += [(abs(i - at) * (1 if good or not inside else BAD_FAR), not good) for good, at in last.items()]
+                near[i] += [(abs(place[i] - p) * (BAD_FAR if found[i].home and not good else 1), not good) for good, p in last.items()]
             else:
-                last[first[i]] = i
-    return [f if f is not None else not min(near[i])[1] if near[i] else True for i, f in enumerate(first)]
+                last[first[i]] = place[i]
+    for i, f in enumerate(first):
+        if f is None:
+            out[i] = not min(near[i])[1] if near[i] else True
+    return out
 
 
 def classify(found: list[Block]) -> list[bool]:
     """Which blocks are article text.
 
-    First pass: boilerplate elements and blocks that are links for more than
-    half are out; blocks of ``LONG_CHARS`` or more with enough stop words are
-    in; the rest is undecided. Second pass: an undecided block takes the label
-    of the nearest decided block, on a tie the good one. Where nothing is
-    decided a block is in.
-
-    The blocks of each article or main element go through both passes by
-    themselves, and so do those outside. The element is a feature: its start
-    counts as a good block, and bad blocks in it as ``BAD_FAR`` times as far.
-    Blocks outside are out if an article or main element holds a long block
-    that is in; comments and teasers that are dropped or short say nothing of
-    them.
+    First pass (``first_pass``): blocks in boilerplate elements are out, and so
+    are those that are links for more than half; blocks of ``LONG_CHARS`` or
+    more with enough stop words are in; short ones and those of few stop words
+    are undecided. Second pass: an undecided block takes the label of the
+    nearest decided block, on a tie the good one. Blocks of another container
+    are ``WALL`` farther, so a heading goes with the paragraphs below it and
+    not with the links above its container. An element of boilerplate says
+    nothing of the blocks around it. Where nothing is decided a block is in.
+
+    Article and main elements are a feature. Both passes run over the blocks
+    of each by themselves; its start counts as a good block, and bad blocks in
+    it as ``BAD_FAR`` times as far. If one of them holds a long block that is
+    in, a block outside of all is not in by its own words: it takes the label
+    of the nearest decided block or end of the page (which is bad), where
+    blocks of the element are ``OUTSIDE`` farther.
     """
     homes: dict[int, list[int]] = {}
     for i, b in enumerate(found):
-        homes.setdefault(b.home, []).append(i)
-    out = [False] * len(found)
+        if not b.dropped:
+            homes.setdefault(b.home, []).append(i)
+    out: list[bool | None] = [None] * len(found)
     for home, places in homes.items():
-        for i, good in zip(places, _passes([found[i] for i in places], home > 0)):
-            out[i] = good
-    if any(good and b.home and len(b.text) >= LONG_CHARS for good, b in zip(out, found)):
-        out = [good and b.home > 0 for good, b in zip(out, found)]
-    return out
+        if home:
+            own = [found[i] for i in places]
+            for i, good in zip(places, _second_pass(own, [first_pass(b)[1] for b in own], [0] * len(own), (True, None))):
+                out[i] = good
+    known = any(good and len(b.text) >= LONG_CHARS for good, b in zip(out, found))
+    seen = [i for i, b in enumerate(found) if not b.dropped] if known else homes.get(0, [])
+    rest = [found[i] for i in seen]
+    first = [out[i] if found[i].home else first_pass(found[i], known)[1] for i in seen]
+    far = [OUTSIDE if k and bool(b.home) != bool(rest[k - 1].home) else 0 for k, b in enumerate(rest)]
+    for i, good in zip(seen, _second_pass(rest, first, far, (False, False) if known else (None, None))):
+        out[i] = good
+    return [bool(x) for x in out]
 
 
 def main_text(page: str | None) -> str:
@@ -273,7 +302,8 @@ def extract_html(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     feeds. Character references are decoded and white space inside a block
     becomes one space. Null and empty pages, and pages without article text,
     give an empty text. No shuffle: pages pass in Arrow batches and each is
-    parsed in linear time. Repeated rows stay; extra columns are ignored.
+    parsed in linear time. Repeated rows stay, an empty table gives an empty
+    result, and extra columns are ignored.
     """
     ship(pages.sparkSession)
 
