@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from tidewatch.llm import near_dedup as nd
+from tidewatch.llm import queries
 from tidewatch.llm.exact_dedup import exact_dedup
 
 from .util import DOCS, clash, odd_documents, sentence
@@ -57,6 +58,46 @@ def test_alignment_against_plain_dynamic_programming():
     assert nd.aligned(same, nd.shingles(["ham"] * 300, known)) == 0.0 and nd.aligned(same, same[:0]) == 0.0
 
 
+def longest(a, b, band):
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i in range(len(a)):
+        for j in range(len(b)):
+            hit = best[i][j] + 1 if a[i] == b[j] and abs(i - j) <= band else 0
+            best[i + 1][j + 1] = max(hit, best[i][j + 1], best[i + 1][j])
+    return best[-1][-1]
+
+
+def test_words_in_order_against_plain_dynamic_programming():
+    r = random.Random(8)
+    for _ in range(300):
+        a = [r.randrange(r.choice([2, 9, 40])) for _ in range(r.randint(0, 50))]
+        b = [r.randrange(r.choice([2, 9, 40])) for _ in range(r.randint(0, 50))]
+        band = r.choice([0, 1, 5, 60])
+        assert nd.common_words(a, b, band) == longest(a, b, band)
+    a = [r.randrange(5_000) for _ in range(1_200)]
+    b = [x for x in a if r.random() < 0.9]
+    assert nd.common_words(a, b, 130) == longest(a, b, 130) and nd.common_words(a, b, 2) == longest(a, b, 2)
+    for _ in range(200):
+        a = [r.randrange(30) for _ in range(r.randint(1, 60))]
+        b = [x if r.random() < 0.9 else 99 for x in a][:len(a) - r.randint(0, 5)] + [7] * r.randint(0, 3)
+        x, y = (nd.Compared(np.array(v, np.uint64)) for v in (a, b))
+        want = longest(a, b, 99) / max(len(a), len(b), 1)
+        assert (nd.share_in_order(x, y) >= 0.8) == (want >= 0.8 - 1e-12) and nd.share_in_order(x, y) <= want + 1e-12
+        if not (x.repeats or y.repeats):
+            assert nd.aligned(x.s, y.s) < 0.8 or want >= 0.8
+
+
+def test_long_texts_are_aligned_in_bounded_time():
+    import time
+
+    g = np.random.default_rng(3)
+    a = g.integers(0, 30_000, 170_000).astype(np.uint64)
+    b = a.copy()
+    b[g.random(len(b)) < 0.1] = 5
+    t = time.time()
+    assert nd.alike(nd.Compared(a), nd.Compared(b)) and time.time() - t < 60
+
+
 def test_alignment_keeps_order():
     known, r = nd.Words(), random.Random(4)
     a, b = sentence(r, 60).split(), sentence(r, 60).split()
@@ -72,7 +113,7 @@ def test_sketch_of_long_text_is_made_in_parts():
 
 def classes(texts, ids):
     known = nd.Words()
-    sh = [nd.shingles(nd.words_of(t), known) for t in texts]
+    sh = [nd.Compared(nd.hashes(nd.words_of(t), known)) for t in texts]
     parent = list(range(len(texts)))
 
     def find(x):
@@ -82,7 +123,7 @@ def classes(texts, ids):
 
     for i in range(len(texts)):
         for j in range(i):
-            if len(sh[i]) and len(sh[j]) and nd.aligned(sh[j], sh[i], 0.8) >= 0.8:
+            if find(i) != find(j) and nd.alike(sh[j], sh[i], 0.8):
                 parent[find(i)] = find(j)
     least = {}
     for i in range(len(texts)):
@@ -136,6 +177,55 @@ def test_near_texts_that_repeat_lines(spark):
     assert [got[i] for i in ids] == want
 
 
+def test_near_query_against_all_pairs(spark):
+    """Every pair of documents that is linked, and how many of each five-word Jaccard similarity are."""
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    got = {r["doc_id"]: r["class_id"] for r in queries.QUERIES["op3_order_minhash"](spark, "/root/testdata/sf0.01").collect()}
+    known = nd.Words()
+    x = {i: nd.Compared(nd.hashes(nd.words_of(t), known)) for i, t in docs.items()}
+    sets = {i: set(c.s.tolist()) for i, c in x.items()}
+    holds, common = collections.defaultdict(list), collections.Counter()
+    for i, s in sets.items():
+        for v in s:
+            holds[v].append(i)
+    for v in holds.values():
+        common.update((a, b) for a in v for b in v if a < b)
+    linked, apart, near = 0, 0, collections.Counter()
+    for (a, b), c in common.items():
+        if nd.words_of(docs[a]) == nd.words_of(docs[b]):
+            assert got[a] == got[b]
+            continue
+        jaccard, alike = c / (len(sets[a]) + len(sets[b]) - c), nd.alike(x[a], x[b])
+        linked += alike
+        apart += alike and got[a] != got[b]
+        if jaccard >= 0.4:
+            near[int(jaccard * 10)] += 1
+            near["caught", int(jaccard * 10)] += got[a] == got[b]
+    assert linked > 85 and apart == 0
+    deciles = [k for k in near if isinstance(k, int)]
+    assert sum(near["caught", k] for k in deciles) >= 0.95 * sum(near[k] for k in deciles)
+    # clean documents are left alone: whoever shares a class is linked to one of it
+    by = collections.defaultdict(list)
+    for i, c in got.items():
+        by[c].append(i)
+    for members in by.values():
+        for a in members:
+            assert len(members) == 1 or any(b != a and (nd.words_of(docs[a]) == nd.words_of(docs[b]) or nd.alike(x[a], x[b])) for b in members)
+
+
+def test_keep_one_goes_by_id_and_text(spark):
+    r = random.Random(5)
+    a, b = sentence(r, 50), sentence(r, 60)
+    near = " ".join(["changed", *a.split()[1:]])
+    rows = [(1, a), (2, a), (2, b), (3, near), (4, None), (4, None), (5, "  "), (7, b), (1, a), (None, a), (None, "alone " + sentence(r, 9)), (8, "x"), (9, "x")]
+    d = spark.createDataFrame([(i, t, "en", "a", len(t or "")) for i, t in rows], DOCS)
+    kept = nd.keep_one(clash(d))
+    assert kept.columns == clash(d).columns
+    got = [(x[0], x[1]) for x in kept.collect()]
+    key = lambda v: (str(v[0]), str(v[1]))
+    assert sorted(got, key=key) == sorted([(1, a), (2, b), (4, None), (4, None), (5, "  "), (None, rows[10][1]), (8, "x")], key=key)
+
+
 def test_near_with_plain_ids(spark):
     d = spark.createDataFrame([(i, t, lg, s, len(t)) for i, t, lg, s in near_corpus()], DOCS)
     rows = d.collect()

@@ -33,6 +33,29 @@ def positional(df: DataFrame) -> tuple[DataFrame, dict[str, str], list[Column]]:
     return flat, at, [F.col(f"_p{i}").alias(c) for i, c in enumerate(df.columns)]
 
 
+#: Keys with more than this share of all rows are hot: there are fewer than its inverse of them, so a table of one row for each can be broadcast.
+HOT_SHARE = 0.001
+
+
+def join_by_key(rows: DataFrame, facts: DataFrame, key: str, count: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined (inner or left) with ``facts``, a written table of one row for each key.
+
+    ``count`` is the column of ``facts`` that has the number of rows of its key.
+    Hot keys, those with more than ``HOT_SHARE`` of the rows, are fewer than
+    its inverse whatever the input, so their facts are broadcast; the other
+    rows meet theirs in a shuffle, in which no key is hot. Where ``how`` is
+    left, rows with a null key are spread by nothing: give them keys of their own.
+    """
+    total = facts.agg(F.sum(count)).first()[0] or 0
+    is_hot = F.col(count) > max(1_000, int(total * HOT_SHARE))
+    hot, cold = facts.filter(is_hot), facts.filter(~is_hot)
+    if not hot.limit(1).count():
+        return rows.join(cold, key, how)
+    first = rows.join(F.broadcast(hot), key)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key, how)
+    return first.unionByName(rest)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
