@@ -3,99 +3,132 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import deque
+from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pick, positional, read, ship
+from .common import Scratch, pick, positional, read, ship
 
 #: Words of the shortest tile, and share of an item's words under tiles from which a document counts as contaminated.
 LEAST, COVERAGE = 5, 0.5
 #: Benchmark words that one pass over the documents broadcasts at most; a larger benchmark takes more passes.
 PASS_WORDS = 2_000_000
-START = 20
 
 _WORDS = re.compile(r"\w+")
 _MUL = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 
 
 def words(text: str | None) -> list[str]:
     return _WORDS.findall((text or "").lower())
 
 
+def _mixed(ids: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        x = (ids.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+        return x ^ (x >> np.uint64(29))
+
+
+class Rolled:
+    """Karp-Rabin hashes (mod 2**64) of all windows of any length of a sequence: sums of
+    words times powers of an odd base, from which a window's is a difference."""
+
+    def __init__(self, ids: np.ndarray) -> None:
+        n = len(ids)
+        with np.errstate(over="ignore"):
+            up = np.concatenate([[np.uint64(1)], np.cumprod(np.full(n, _MUL))]).astype(np.uint64)
+            self.down = np.concatenate([[np.uint64(1)], np.cumprod(np.full(n, _INVERSE))]).astype(np.uint64)
+            self.sums = np.concatenate([[np.uint64(0)], np.cumsum(_mixed(ids) * up[:n], dtype=np.uint64)])
+
+    def windows(self, size: int) -> np.ndarray:
+        n = len(self.sums) - size
+        if n <= 0:
+            return np.zeros(0, np.uint64)
+        with np.errstate(over="ignore"):
+            return (self.sums[size:] - self.sums[:n]) * self.down[:n]
+
+
 def window_hashes(ids: np.ndarray, size: int) -> np.ndarray:
-    """Karp-Rabin hashes (mod 2**64) of all windows of ``size`` ids."""
-    n = len(ids) - size + 1
+    return Rolled(ids).windows(size)
+
+
+def _open(free: np.ndarray, size: int) -> np.ndarray:
+    """Places at which a window of ``size`` is free."""
+    n = len(free) - size + 1
     if n <= 0:
-        return np.zeros(0, np.uint64)
-    out = np.zeros(n, np.uint64)
-    x = ids.astype(np.uint64)
-    with np.errstate(over="ignore"):
-        x = (x + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
-        x ^= x >> np.uint64(31)
-        if size <= 16:
-            for k in range(size):
-                out = out * _MUL + x[k:k + n]
-            return out
-        h, top = np.uint64(0), _MUL ** np.uint64(size - 1)
-        for k in range(size):
-            h = h * _MUL + x[k]
-        out[0] = h
-        for i in range(1, n):  # rolled: the first id goes, the next comes
-            h = (h - x[i - 1] * top) * _MUL + x[i + size - 1]
-            out[i] = h
-    return out
+        return np.zeros(0, np.int64)
+    run = np.concatenate([[0], np.cumsum(free)])
+    return np.flatnonzero(run[size:] - run[:n] == size)
 
 
 def tile(doc: np.ndarray, item: np.ndarray, least: int = LEAST) -> list[tuple[int, int, int]]:
     """Greedy string tiling of two id sequences: (start, item start, words).
 
-    Running Karp-Rabin: unmarked windows of the search length are matched by
-    hash and extended; the longest matches are marked first, and the search
-    length falls from ``START`` to ``least``, or jumps up to a match found of
-    more than twice its length. No word of either side is in two tiles.
+    The longest match of unmarked words is marked first, at the first place of
+    the document and then of the item on a tie, until none of ``least`` words
+    is left. Running Karp-Rabin: a length has a match if free windows of both
+    sides share a hash, so the longest is found by halving; all matches of
+    that length are marked in one run over both sides' places, and the next
+    length is shorter. There are at most as many lengths as distinct ones add
+    up to the item, the square root of twice its words, and each costs
+    n log n, whatever repeats. No word of either side is in two tiles.
     """
     free_d, free_p = np.ones(len(doc), bool), np.ones(len(item), bool)
+    roll_d, roll_p = Rolled(doc), Rolled(item)
     tiles: list[tuple[int, int, int]] = []
-    size = max(least, min(START, len(item)))
-    while True:
-        found, longest = [], 0
-        open_p = np.convolve(free_p, np.ones(size, int), "valid") == size if len(item) >= size else np.zeros(0, bool)
-        if open_p.any():
-            at_p = np.flatnonzero(open_p)
-            by: dict[int, list[int]] = {}
-            for j, h in zip(at_p.tolist(), window_hashes(item, size)[at_p].tolist()):
-                by.setdefault(h, []).append(j)
-            hd = window_hashes(doc, size)
-            open_d = np.convolve(free_d, np.ones(size, int), "valid") == size if len(doc) >= size else np.zeros(0, bool)
-            for i in np.flatnonzero(open_d & np.isin(hd, np.fromiter(by, np.uint64, len(by)))).tolist():
-                for j in by[int(hd[i])]:
-                    if i and j and free_d[i - 1] and free_p[j - 1] and doc[i - 1] == item[j - 1]:
-                        continue  # part of a match that began earlier
-                    n = 0
-                    while i + n < len(doc) and j + n < len(item) and doc[i + n] == item[j + n] and free_d[i + n] and free_p[j + n]:
-                        n += 1
-                    if n >= size:
-                        found.append((n, i, j))
-                        longest = max(longest, n)
-        if longest > 2 * size:
-            size = longest
-            continue
-        again = False
-        for n, i, j in sorted(found, key=lambda x: (-x[0], x[1], x[2])):
-            if free_d[i:i + n].all() and free_p[j:j + n].all():
-                free_d[i:i + n] = free_p[j:j + n] = False
-                tiles.append((i, j, n))
+
+    def matches(size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Free places of both sides whose windows come on the other one, and their hashes."""
+        i, j = _open(free_d, size), _open(free_p, size)
+        hi, hj = roll_d.windows(size)[i], roll_p.windows(size)[j]
+        both = np.intersect1d(hi, hj)
+        if not len(both):
+            return i[:0], j[:0], hi[:0], hj[:0]
+        at_i, at_j = np.isin(hi, both), np.isin(hj, both)
+        return i[at_i], j[at_j], hi[at_i], hj[at_j]
+
+    low, high = least, min(len(doc), len(item))
+    while low <= high:
+        lo, hi, best = low, high, None
+        while lo <= hi:
+            size = (lo + hi + 1) // 2
+            found = matches(size)
+            if len(found[0]):
+                best, lo = (size, found), size + 1
             else:
-                again = True  # what is left of it is found anew
-        if again:
-            continue
-        if size <= least:
-            return sorted(tiles)
-        size = max(least, size // 2)
+                hi = size - 1
+        if best is None:
+            break
+        size, (at_d, at_p, hash_d, hash_p) = best
+        by: dict[int, deque[int]] = {}
+        for j, h in zip(at_p.tolist(), hash_p.tolist()):
+            by.setdefault(h, deque()).append(j)
+        done, k = 0, 0
+        while k < len(at_d) and by:
+            i, h = int(at_d[k]), int(hash_d[k])
+            places = by.get(h)
+            while places and not free_p[places[0]:places[0] + size].all():
+                places.popleft()  # a word marked once stays marked
+            if not places:
+                by.pop(h, None)
+                k += 1
+                continue
+            j = places.popleft()
+            if not np.array_equal(doc[i:i + size], item[j:j + size]):  # hashes collide
+                k += 1
+                continue
+            free_d[i:i + size] = free_p[j:j + size] = False
+            tiles.append((i, j, size))
+            done = i + size
+            k = int(np.searchsorted(at_d, done))
+        high = size - 1
+    return sorted(tiles)
 
 
 class Bench:
@@ -107,8 +140,12 @@ class Bench:
         hashes = [window_hashes(x, least) for _, x in self.items]
         flat = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         owner = np.repeat(np.arange(len(hashes)), [len(h) for h in hashes])
-        order = np.argsort(flat, kind="stable")
-        self.seeds, self.owner = flat[order], owner[order]
+        order = np.lexsort((owner, flat))
+        flat, owner = flat[order], owner[order]
+        if len(flat):  # a seed that an item repeats counts once
+            once = np.concatenate([[True], (flat[1:] != flat[:-1]) | (owner[1:] != owner[:-1])])
+            flat, owner = flat[once], owner[once]
+        self.seeds, self.owner = flat, owner
         self.short: dict[int, dict[tuple[int, ...], list[object]]] = {}  # items without a seed: length, words, names
         for name, x in self.items:
             if len(x) < least:
@@ -144,17 +181,19 @@ class Bench:
         if not hit.any():
             return []
         at, lo, hi = at[hit], lo[hit], hi[hit]
-        places: dict[int, list[int]] = {}
-        for p, a, b in zip(at.tolist(), lo.tolist(), hi.tolist()):
-            for o in set(self.owner[a:b].tolist()):
-                places.setdefault(o, []).append(p)
+        n = hi - lo
+        place = np.repeat(at, n)
+        owner = self.owner[np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        order = np.argsort(owner, kind="stable")
+        place, owner = place[order], owner[order]
+        cuts = np.flatnonzero(np.diff(owner)) + 1
         out = []
-        for o, starts in places.items():
+        for o, starts in zip(owner[np.concatenate([[0], cuts])].tolist(), np.split(place, cuts)):
             name, item = self.items[o]
             # seeds bound what tiles can cover: most documents that share a phrase end here
             seeded = np.zeros(len(ids), bool)
-            for p in starts:
-                seeded[p:p + self.least] = True
+            for k in range(self.least):
+                seeded[starts + k] = True
             if seeded.sum() < coverage * len(item):
                 continue
             where = np.flatnonzero(seeded)
@@ -167,27 +206,25 @@ class Bench:
         return out
 
 
-def load_benchmark(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", least: int = LEAST,
-                   pass_words: int = PASS_WORDS) -> list:
-    """Broadcast parts of the benchmark, each of ``pass_words`` words or one item at most.
+def benchmark_parts(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", least: int = LEAST,
+                    pass_words: int = PASS_WORDS) -> Iterator[Bench]:
+    """Parts of the benchmark, one after another, each of ``pass_words`` words or one item at most.
 
     Items without words are left out.
     """
-    spark = benchmark.sparkSession
-    ship(spark)
-    parts, held, size = [], [], 0
+    ship(benchmark.sparkSession)
+    held, size = [], 0
     for r in pick(benchmark, id=id_col, text=text_col).orderBy("id", "text").toLocalIterator():
         ws = words(r["text"])
         if not ws:
             continue
         if held and size + len(ws) > pass_words:
-            parts.append(spark.sparkContext.broadcast(Bench(held, least)))
+            yield Bench(held, least)
             held, size = [], 0
         held.append((r["id"], ws))
         size += len(ws)
     if held:
-        parts.append(spark.sparkContext.broadcast(Bench(held, least)))
-    return parts
+        yield Bench(held, least)
 
 
 def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -222,36 +259,64 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
                 yield pd.DataFrame(rows, columns=["id", "item", "coverage", "covered", "tiles"])
         return run
 
-    out = None
-    for part in load_benchmark(benchmark, item_col, item_text_col, least, pass_words):
-        more = d.mapInPandas(search(part), schema)
-        out = more if out is None else out.unionByName(more)
+    out = _by_parts(benchmark_parts(benchmark, item_col, item_text_col, least, pass_words), docs.sparkSession,
+                    lambda part: d.mapInPandas(search(part), schema))
     if out is None:
         out = docs.sparkSession.createDataFrame([], schema)
     return out.withColumnRenamed("id", id_col).withColumnRenamed("item", item_col)
 
 
-def contaminated(text: Column, parts: list, coverage: float = COVERAGE) -> Column:
-    """Whether a text is contaminated by an item of any part of the benchmark."""
-    def judge(part):
+def _by_parts(parts: Iterator[Bench], spark: SparkSession, run: Callable) -> DataFrame | None:
+    """What ``run`` gives for every part, together. Where there are several parts, each has
+    a pass of its own whose rows are written before the next is sent out, so that workers
+    hold one part at a time and the driver two."""
+    scratch, out = None, None
+    part = next(parts, None)
+    while part is not None:
+        after = next(parts, None)
+        shared = spark.sparkContext.broadcast(part)
+        if after is None and scratch is None:
+            return run(shared)
+        scratch = scratch or Scratch(spark)
+        found = scratch.cut(run(shared))
+        shared.destroy()
+        out = found if out is None else out.unionByName(found)
+        part = after
+    return out
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", coverage: float = COVERAGE,
+               pass_words: int = PASS_WORDS) -> DataFrame:
+    """The documents that no item contaminates; columns stay as they are.
+
+    Texts are judged as in ``contaminated_pairs``. With a benchmark of several
+    parts, the hashes of contaminated texts are written part by part and the
+    documents that have them go in one join. Null and empty texts hold no item
+    and stay, rows that repeat stay or go alike, and an empty table or an empty
+    benchmark leaves the documents as they are.
+    """
+    flat, at, back = positional(docs)
+    text = at[text_col]
+    parts = list(islice(benchmark_parts(benchmark, pass_words=pass_words), 2))
+    if not parts:
+        return docs
+
+    def hit(part):
         @F.pandas_udf("boolean")
-        def hit(t: pd.Series) -> pd.Series:
+        def judge(t: pd.Series) -> pd.Series:
             return pd.Series([bool(part.value.matches(x, coverage)) for x in t], dtype=bool)
-        return hit(text)
+        return judge(F.col(text))
 
-    out = F.lit(False)
-    for part in parts:
-        out = out | judge(part)
-    return out
+    if len(parts) == 1:
+        return flat.filter(~hit(docs.sparkSession.sparkContext.broadcast(parts[0]))).select(*back)
+    del parts
+    own = F.md5(F.coalesce(F.col(text), F.lit("")))
+    gone = _by_parts(benchmark_parts(benchmark, pass_words=pass_words), docs.sparkSession,
+                     lambda part: flat.filter(hit(part)).select(own.alias("_gone")).distinct()).distinct()
+    return flat.withColumn("_own", own).join(gone, F.col("_own") == F.col("_gone"), "left_anti").select(*back)
 
 
 def op2_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contaminated documents, with the items found in them."""
     out = contaminated_pairs(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "item_id", F.round("coverage", 6).alias("coverage"), "covered", F.size("tiles").alias("n_tiles"))
-
-
-def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
-    """The documents that no item contaminates; columns stay as they are."""
-    flat, at, back = positional(docs)
-    return flat.filter(~contaminated(F.col(at[text_col]), load_benchmark(benchmark))).select(*back)
