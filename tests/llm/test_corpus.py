@@ -55,14 +55,15 @@ def test_mix_odd_documents(spark):
     spans = collections.defaultdict(list)
     for r in mixed.collect():
         taken[r["source"]] += r["words"]
-        spans[r["id"], r["row"], r["epoch"]].append((r["start"], r["words"]))
+        spans[(r["id"], r["source"], r["size"], r["row"]), r["epoch"]].append((r["start"], r["words"]))
     assert all(abs(taken[s] - want[s]) <= 1 for s in by)
-    size = {(r["id"], r["row"]): r["size"] for r in got}
+    size = {(r["id"], r["source"], r["size"], r["row"]): r["size"] for r in got}
+    assert len(size) == len(got)
     used = collections.Counter()
-    for (i, row, _), parts in spans.items():
+    for (k, _), parts in spans.items():
         parts.sort()
-        assert all(a + n <= b for (a, n), (b, _) in zip(parts, parts[1:])) and parts[-1][0] + parts[-1][1] <= size[i, row]
-        used[i, row] += sum(n for _, n in parts)
+        assert all(a + n <= b for (a, n), (b, _) in zip(parts, parts[1:])) and parts[-1][0] + parts[-1][1] <= size[k]
+        used[k] += sum(n for _, n in parts)
     assert all(n <= 2 * size[k] for k, n in used.items())
     out = mx.mix_documents(clash(d), block_words=64, shards=5)
     assert out.columns == clash(d).columns and out.count() == len(spans)
@@ -118,8 +119,8 @@ def test_shards_against_brute_force(spark):
 
     frac = []
     for s in {r["source"] for r in rows}:
-        own = sorted((key(r["doc_id"]), r["doc_id"] or -1, len((r["text"] or "").encode())) for r in rows if r["source"] == s)
-        frac += [((i + 0.5) / len(own), (s is not None, s or ""), x[1]) for i, x in enumerate(own)]
+        own = sorted((key(r["text"] or ""), key(r["doc_id"]), r["doc_id"] or -1, len((r["text"] or "").encode())) for r in rows if r["source"] == s)
+        frac += [((i + 0.5) / len(own), (s is not None, s or ""), x[2]) for i, x in enumerate(own)]
     order = [x[2] for x in sorted(frac)]
     n = len(order)
     want = sorted((i * 3 // n, i - -(-(i * 3 // n) * n // 3), x) for i, x in enumerate(order))
@@ -137,6 +138,24 @@ def test_shard_query(spark):
     check_shards([{"shard": r["shard"], "slot": r["slot"], "source": docs[r["doc_id"]]} for r in got], 8)
 
 
+def test_equal_texts_are_neighbours(spark):
+    """Of a source, at most one group of equal texts is split at each cut; groups of all sources drift apart only by the sources' sizes."""
+    r = random.Random(6)
+    rows = [(i, f"text {r.choice([r.randrange(150), r.randrange(9_000), 7])}", "en", f"s{r.choice([0, 0, 0, 1])}") for i in range(4_000)]
+    d = spark.createDataFrame([(i, t, lg, s, len(t)) for i, t, lg, s in rows], DOCS)
+    got = {x["doc_id"]: x["shard"] for x in sharding.interleave_shards(d).collect()}
+    check_shards([{**x.asDict(), "doc_id": None} for x in sharding.interleave_shards(d, source_bins=4, text_bins=4).collect()], 8)
+    per, everywhere = collections.defaultdict(set), collections.defaultdict(set)
+    for i, t, _, s in rows:
+        per[s, t].add(got[i])
+        everywhere[t].add(got[i])
+    for s in ("s0", "s1"):
+        split = [v for (x, _), v in per.items() if x == s and len(v) > 1]
+        assert sum(len(v) - 1 for v in split) <= 7 and all(max(v) - min(v) == len(v) - 1 for v in split)
+    several = [t for t in everywhere if sum(x[1] == t for x in rows) > 1]
+    assert sum(len(everywhere[t]) > 1 for t in several) <= 0.25 * len(several)
+
+
 def test_pipeline_stage_by_stage(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     cols, before = docs.columns, docs.count()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pick, read
+from .common import Scratch, join_by_key, pick, read
 
 PREFIX_CHARS = 64
 
@@ -14,45 +14,38 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 prefix_chars: int = PREFIX_CHARS, hash_all: bool = False) -> DataFrame:
     """One row per input row: id, keep_id, group_size, kept, content_hash.
 
-    Rows are grouped by byte length; lengths that occur once are settled. The
-    others are grouped by (length, hash of the first ``prefix_chars``); only
-    rows of groups with two members or more have their whole text hashed
-    (SHA-256). Each refinement is a map-side combined count over narrow keys;
-    no text is ever shuffled when the key tables fit a broadcast, which Spark
-    decides from their measured size. With ``hash_all`` every row gets its
-    hash in the scan, so that text is not shuffled whatever the size of the
-    key tables, at the price of hashing settled rows too.
+    Rows are grouped by byte length and within it by the hash of the first
+    ``prefix_chars``, both counted in one map-side combined aggregate; what
+    occurs once is settled. Only rows of groups with two members or more have
+    their whole text hashed (SHA-256). Groups that hold a large share of all
+    rows meet their facts by a broadcast of bounded size (``join_by_key``), so
+    no group is hot in a shuffle. With ``hash_all`` every row gets its hash in
+    the scan, so that no text is shuffled, at the price of hashing settled
+    rows too; without it, texts of rows that are not hot are shuffled once.
 
     Of equal texts the row with the largest id stays. Null text counts as
     empty. Rows that repeat an id and a text are all ``kept`` if that id is
     the largest; a null id stays only in a group without another id.
     An empty table gives an empty result. Extra columns are ignored.
     """
-    d = pick(docs, id=id_col, text=text_col).select("id", F.coalesce("text", F.lit("")).alias("text"))
-    d = d.select("id", "text", F.octet_length("text").alias("len"))
+    scratch = Scratch(docs.sparkSession)
+    text = F.coalesce("text", F.lit(""))
+    # the hashes are taken below the joins: what they shuffle is narrow
+    rows = pick(docs, id=id_col, text=text_col).select(
+        "id", F.xxhash64(F.octet_length(text), F.xxhash64(F.substring(text, 1, prefix_chars))).alias("short"),
+        F.sha2(text, 256).alias("hash") if hash_all else text.alias("text"))
     if hash_all:
-        d = d.withColumn("hash", F.sha2(F.col("text"), 256))
-
-    lens = d.groupBy("len").count().filter("count > 1").select("len")
-    # the prefix hash is taken below the joins: what they shuffle, if they do, is narrow
-    rows = d.select("id", "len", F.xxhash64(F.substring("text", 1, prefix_chars)).alias("prefix"),
-                    *(["hash"] if hash_all else ["text"]))
-    prefixes = (rows.select("len", "prefix").join(lens, "len", "left_semi")
-                .groupBy("len", "prefix").count().filter("count > 1").select("len", "prefix"))
-    left = rows.join(prefixes, ["len", "prefix"], "left_semi")
+        rows = scratch.cut(rows)
+    open_ = scratch.cut(rows.groupBy("short").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    left = join_by_key(rows, open_, "short", "n")
     if not hash_all:
-        left = left.withColumn("hash", F.sha2(F.col("text"), 256))
-    groups = (left.groupBy("hash").agg(F.max("id").alias("keep"), F.count(F.lit(1)).alias("size"))
-              .filter("size > 1"))
+        left = scratch.cut(left.select("id", F.sha2("text", 256).alias("hash")))
+    groups = scratch.cut(left.groupBy("hash").agg(F.max("id").alias("keep"), F.count(F.lit(1)).alias("size")).filter("size > 1"))
 
-    if hash_all:
-        keyed = rows.select("id", "hash", F.col("hash").alias("key"))
-    else:
-        # settled rows get a key of their own, so that they spread evenly over the join
-        seen = rows.join(prefixes.withColumn("open", F.lit(True)), ["len", "prefix"], "left")
-        keyed = seen.select("id", F.when(F.col("open"), F.sha2(F.col("text"), 256)).alias("hash")) \
-            .select("id", "hash", F.coalesce("hash", F.concat(F.lit("id:"), F.col("id").cast("string"))).alias("key"))
-    out = keyed.join(groups.withColumnRenamed("hash", "key"), "key", "left")
+    out = join_by_key(rows.select("id", "hash") if hash_all else left, groups, "hash", "size", "left")
+    if not hash_all:
+        settled = join_by_key(rows.select("id", "short"), open_, "short", "n", "left").filter("n is null")
+        out = out.unionByName(settled.select("id"), allowMissingColumns=True)
     keep = F.when(F.col("size").isNull(), F.col("id")).otherwise(F.col("keep"))
     return out.select(
         F.col("id").alias(id_col), keep.alias("keep_id"),

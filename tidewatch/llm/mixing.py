@@ -96,15 +96,15 @@ def pack(docs: DataFrame, seed: int, block_words: int) -> DataFrame:
     """Words of each source, in seeded order of documents, cut into blocks.
 
     docs: id, source, size. Returns a row for each part of a document in a
-    block: source, block, at (place in the block), id, start, words.
+    block: source, block, at (place in the block), id, row, size, start, words.
     Offsets are summed in ``PACK_BINS`` ranges of each source's order.
     """
-    d = docs.filter("size > 0").withColumn("h", F.xxhash64(F.lit(seed), "id"))
+    d = docs.filter("size > 0").withColumn("h", F.xxhash64(F.lit(seed), "id", "size", "row"))
     d = d.withColumn("bin", F.pmod("h", F.lit(PACK_BINS)))
     bins = d.groupBy("source", "bin").agg(F.sum("size").alias("n"))
     before = bins.select(F.col("source").alias("s"), F.col("bin").alias("b"), (
         F.sum("n").over(W.partitionBy("source").orderBy("bin")) - F.col("n")).alias("before"))
-    run = W.partitionBy("source", "bin").orderBy("h", "id", "size").rowsBetween(W.unboundedPreceding, 0)
+    run = W.partitionBy("source", "bin").orderBy("h", "id", "size", "row").rowsBetween(W.unboundedPreceding, 0)
     d = (d.withColumn("upto", F.sum("size").over(run))
          .join(before, F.col("source").eqNullSafe(F.col("s")) & (F.col("bin") == F.col("b")))
          .select("id", "row", "source", "size", (F.col("before") + F.col("upto") - F.col("size")).alias("off")))
@@ -112,7 +112,7 @@ def pack(docs: DataFrame, seed: int, block_words: int) -> DataFrame:
     d = d.select("*", F.explode(span).alias("block"))
     low = F.greatest(F.col("off"), F.col("block") * block_words)
     high = F.least(F.col("off") + F.col("size"), (F.col("block") + 1) * block_words)
-    return d.select("source", "block", (low - F.col("block") * block_words).alias("at"), "id", "row",
+    return d.select("source", "block", (low - F.col("block") * block_words).alias("at"), "id", "row", "size",
                     (low - F.col("off")).alias("start"), (high - low).alias("words"))
 
 
@@ -125,11 +125,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
         shards: int = OUT_SHARDS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """(sizes, mixed): every document with its source's target, and the mixed blocks.
 
-    ``sizes`` has id, row (tells rows with the same id apart), source, size,
-    source_size, target. ``mixed`` has a row for each part of a document in a
-    block of the mix: shard, slot, source, block, epoch, take (words the slot
-    takes of the block), id, row, start, words (the words of the document that
-    are taken: ``words`` from word ``start`` on).
+    ``sizes`` has id, row (tells rows with the same id, source and size
+    apart), source, size, source_size, target. ``mixed`` has a row for each
+    part of a document in a block of the mix: shard, slot, source, block,
+    epoch, take (words the slot takes of the block), id, row, size, start,
+    words (the words of the document that are taken: ``words`` from word
+    ``start`` on).
 
     Each source's words are packed into blocks of ``block_words``. A source
     gets as many slots as its target needs; ``draw_counts`` deals them to
@@ -152,9 +153,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     d = pick(docs, id=id_col, source=source_col, text=text_col)
     d = d.select("id", "source", size_of(F.col("text")).alias("size"))
     d = cut(d)
-    # rows that repeat an id are told apart by a number among themselves
+    # rows that repeat an id are told apart by a number among those of one source and size, which are interchangeable
     repeated = d.groupBy("id").count().filter("count > 1").limit(1).count()
-    d = d.withColumn("row", F.row_number().over(W.partitionBy("id").orderBy("source", "size")) if repeated else F.lit(1))
+    d = d.withColumn("row", F.row_number().over(W.partitionBy("id", "source", "size").orderBy(F.lit(1))) if repeated else F.lit(1))
     by_source = {r["source"]: int(r["n"]) for r in d.groupBy("source").agg(F.sum("size").alias("n")).collect()}
     want = targets(by_source, weights, budget, most)
     names = sorted((s for s in by_source if s is not None)) + [None] * (None in by_source)
@@ -200,7 +201,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     b = pack(d, seed, block_words).withColumnRenamed("source", "s").withColumnRenamed("block", "b")
     part = F.least(F.col("words"), F.col("take") - F.col("at"))
     mixed = (b.join(slots, F.col("s").eqNullSafe(F.col("source")) & (F.col("b") == F.col("block")))
-             .select("shard", "slot", "source", "block", "epoch", "take", "id", "row", "start", part.alias("words"))
+             .select("shard", "slot", "source", "block", "epoch", "take", "id", "row", "size", "start", part.alias("words"))
              .filter("words > 0"))
     sizes = d.withColumnRenamed("source", "s").join(
         facts.select("source", "source_size", "target"), F.col("s").eqNullSafe(F.col("source")), "left").drop("s")
@@ -215,14 +216,15 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "so
     stay, joined by line feeds, and ``n_chars_col`` is counted anew. Texts
     without words are not in the mix."""
     _, mixed = mix(docs, id_col, source_col, text_col, **options)
-    parts = mixed.groupBy(F.col("id").alias("_id"), F.col("row").alias("_row"), "epoch").agg(
+    parts = mixed.groupBy(F.col("id").alias("_id"), F.col("source").alias("_s"), F.col("size").alias("_n"), F.col("row").alias("_row"), "epoch").agg(
         F.sort_array(F.collect_list(F.struct("start", "words"))).alias("_parts"))  # as many as the text has blocks
     flat, at, back = positional(docs)
     key = F.col(at[id_col]).eqNullSafe(F.col("_id"))
     if flat.groupBy(at[id_col]).count().filter("count > 1").limit(1).count():
         size = size_of(F.col(at[text_col]))
-        flat = flat.withColumn("_r", F.row_number().over(W.partitionBy(at[id_col]).orderBy(at[source_col], size)))
-        key = key & (F.col("_r") == F.col("_row"))
+        flat = flat.withColumn("_size", size)
+        flat = flat.withColumn("_r", F.row_number().over(W.partitionBy(at[id_col], at[source_col], "_size").orderBy(F.lit(1))))
+        key = key & F.col(at[source_col]).eqNullSafe(F.col("_s")) & (F.col("_size") == F.col("_n")) & (F.col("_r") == F.col("_row"))
 
     @F.pandas_udf("string")
     def stretch(text: pd.Series, parts: pd.Series) -> pd.Series:
@@ -250,7 +252,7 @@ def cut_words(text: str, parts: list[tuple[int, int]]) -> str:
 
 def op5_block_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes, mixed = mix(read(spark, sf_dir, "documents"))
-    taken = mixed.groupBy(F.col("id").alias("i"), F.col("row").alias("r")).agg(F.sum("words").alias("taken"))
-    out = sizes.join(taken, F.col("id").eqNullSafe(F.col("i")) & (F.col("row") == F.col("r")), "left")
+    taken = mixed.groupBy(F.col("id").alias("i"), F.col("source").alias("s"), F.col("size").alias("z"), F.col("row").alias("r")).agg(F.sum("words").alias("taken"))
+    out = sizes.join(taken, F.col("id").eqNullSafe(F.col("i")) & F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("row") == F.col("r")), "left")
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target",
                       F.coalesce("taken", F.lit(0).cast("bigint")).alias("taken"))

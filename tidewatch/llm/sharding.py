@@ -9,58 +9,70 @@ from pyspark.sql import functions as F
 from .common import cut, pick, positional, read
 
 SHARDS, SEED = 8, 20240607
-#: Ranges that a source's shuffle keys are cut into for ranking, and ranges of
-#: the fractional rank: tables of the second size are broadcast, whatever the
-#: input's size; both only bound how many rows one task ranks.
-SOURCE_BINS, RANK_BINS = 1024, 4096
+#: Ranges that a source's shuffle keys are cut into for ranking, and those of one text's
+#: rows; ranges of the fractional rank: a table of that size is broadcast, whatever the
+#: input's size. All only bound how many rows one task ranks.
+SOURCE_BINS, TEXT_BINS, RANK_BINS = 1024, 1024, 4096
 _BITS = 60
 
 
-def shuffle_key(id_col: str, seed: int):
-    """60 bits of MD5(seed:id): a seeded order that any SQL engine can repeat."""
-    ident = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
-    hexed = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), ident)), 1, _BITS // 4)
+def shuffle_key(column, seed: int):
+    """60 bits of MD5(seed:column): a seeded order that any SQL engine can repeat."""
+    hexed = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(column).cast("string"), F.lit("null")))), 1, _BITS // 4)
     return F.conv(hexed, 16, 10).cast("bigint")
 
 
 def interleave_shards(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, id_col: str = "doc_id",
-                      source_col: str = "source", text_col: str = "text",
-                      source_bins: int = SOURCE_BINS, rank_bins: int = RANK_BINS) -> DataFrame:
+                      source_col: str = "source", text_col: str = "text", source_bins: int = SOURCE_BINS,
+                      text_bins: int = TEXT_BINS, rank_bins: int = RANK_BINS) -> DataFrame:
     """One row per input row: id, source, size, text_crc32, shard, slot.
 
-    Rows are shuffled by a seeded key within each source and ranked; the rank
-    minus one half over the source's count is the fractional rank. All rows
-    are put in its order (ties by source, nulls first, then id) and the order
-    is cut into ``shards`` runs whose lengths differ by one at most, so every
-    shard holds each source in its share of the whole to within a row or two.
-    ``slot`` is the place in the shard, gapless from 0; ``size`` is the UTF-8
-    bytes of the text plus 1.
+    Rows are shuffled within each source by a seeded key of the text, then of
+    the id, and ranked; the rank minus one half over the source's count is the
+    fractional rank. All rows are put in its order (ties by source, nulls
+    first, then id) and the order is cut into ``shards`` runs whose lengths
+    differ by one at most, so every shard holds each source in its share of
+    the whole to within a row or two. ``slot`` is the place in the shard,
+    gapless from 0; ``size`` is the UTF-8 bytes of the text plus 1.
+
+    Groups are equal texts: the key makes a group neighbours within a source,
+    so of a source at most one group a cut is split, and puts the copies of
+    other sources at nearly the same fractional rank, the nearer the larger
+    the sources are. A group is not held together where that would break the
+    equal counts or the mixture, which come first.
 
     A rank is counted in bins: each source's key range is cut into
-    ``source_bins``, counts of bins are summed up to offsets, and
-    ``row_number`` runs within one bin only, so a source with a third of all
-    rows is ranked by as many tasks as it has bins. The global position is
+    ``source_bins``, and the rows of one text into ``text_bins`` by the key of
+    their ids. Counts of those cells are summed up to offsets, and
+    ``row_number`` runs within one cell only, so neither a source nor a text
+    with a third of all rows is ranked in one task. The global position is
     found in the same way over ``rank_bins`` ranges of the fractional rank.
     Only narrow rows are shuffled, never the text.
 
     Null sources are a stratum of their own; null text counts as none (size
-    1, CRC 0). Repeated ids with equal size and CRC are interchangeable. An
+    1, CRC 0) and null ids as one id. Rows with equal source, id and text are
+    interchangeable; only they share a cell whatever their number. An
     empty table gives an empty result. Extra columns are ignored.
     """
-    d = pick(docs, id=id_col, source=source_col, text=text_col)
-    d = d.select("id", "source", (F.octet_length(F.coalesce("text", F.lit(""))) + 1).cast("bigint").alias("size"),
-                 F.crc32(F.coalesce("text", F.lit(""))).alias("crc"), shuffle_key("id", seed).alias("h"))
-    d = d.withColumn("bin", F.expr(f"cast(h div {2**_BITS // source_bins} as int)"))
-
-    counts = d.groupBy("source", "bin").agg(F.count(F.lit(1)).alias("n"))
-    run = W.partitionBy("source").orderBy("bin")
-    before = counts.select(
-        F.col("source").alias("s"), F.col("bin").alias("b"),
-        (F.sum("n").over(run) - F.col("n")).alias("before"), F.sum("n").over(W.partitionBy("source")).alias("total"))
-    order = [F.col("h"), F.col("id"), F.col("size"), F.col("crc")]
-    ranked = (d.withColumn("rn", F.row_number().over(W.partitionBy("source", "bin").orderBy(*order)))
-              .join(before, F.col("source").eqNullSafe(F.col("s")) & (F.col("bin") == F.col("b")))
-              .select("id", "source", "size", "crc", ((F.col("before") + F.col("rn") - 0.5) / F.col("total")).alias("frac"))
+    d = pick(docs, id=id_col, source=source_col, text=text_col).withColumn("text", F.coalesce("text", F.lit("")))
+    d = d.select("id", "source", (F.octet_length("text") + 1).cast("bigint").alias("size"), F.crc32("text").alias("crc"),
+                 shuffle_key("text", seed).alias("h"), shuffle_key("id", seed).alias("g"))
+    d = cut(d.withColumn("sub", F.expr(f"cast(g div {2**_BITS // text_bins} as int)")))
+
+    cells = d.groupBy("source", "h", "sub").agg(F.count(F.lit(1)).alias("n")).withColumn("bin", F.expr(f"cast(h div {2**_BITS // source_bins} as int)"))
+    counts = cells.groupBy("source", "bin").agg(F.sum("n").alias("m"))
+    ahead = counts.select(F.col("source").alias("s"), F.col("bin").alias("b"),
+                          (F.sum("m").over(W.partitionBy("source").orderBy("bin")) - F.col("m")).alias("before"),
+                          F.sum("m").over(W.partitionBy("source")).alias("total"))
+    run = W.partitionBy("source", "bin").orderBy("h", "sub").rowsBetween(W.unboundedPreceding, 0)
+    before = (cells.withColumn("upto", F.sum("n").over(run))
+              .join(ahead, F.col("source").eqNullSafe(F.col("s")) & (F.col("bin") == F.col("b")))
+              .select(F.col("source").alias("s"), F.col("h").alias("ch"), F.col("sub").alias("csub"), "total",
+                      (F.col("before") + F.col("upto") - F.col("n")).alias("before")))
+    order = [F.col("g"), F.col("id"), F.col("size"), F.col("crc")]
+    ranked = (d.withColumn("rn", F.row_number().over(W.partitionBy("source", "h", "sub").orderBy(*order)))
+              .join(before, F.col("source").eqNullSafe(F.col("s")) & (F.col("h") == F.col("ch")) & (F.col("sub") == F.col("csub")))
+              .select("id", "source", "size", "crc", "h", "g", ((F.col("before") + F.col("rn") - 0.5) / F.col("total")).alias("frac"))
               .withColumn("slice", F.floor(F.col("frac") * rank_bins).cast("int")))
     ranked = cut(ranked)
 
@@ -84,6 +96,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, id_
 
     Texts meet their places on (id, size, CRC); rows that agree in all three
     take the places of their group one each, so each place is taken once.
+    They are numbered in no order, as any of them may take any of those.
     """
     flat, at, back = positional(docs)
     ident, text = at[id_col], F.coalesce(at[text_col], F.lit(""))
