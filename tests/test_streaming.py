@@ -1,14 +1,18 @@
 import json
+from dataclasses import replace
 from datetime import date, datetime, timedelta
+from zoneinfo import ZoneInfo
 
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidewatch.config import Config, ConfigError
 from tidewatch.plans.state import StateStore
 from tidewatch.schema import METRICS
-from tidewatch.sources.sinks import Delivery, FileSink, LogSink, NoopSink, kafka_options, probe, sinks_of
+from tidewatch.sources.metrics import progress
+from tidewatch.sources.sinks import Delivery, FileSink, KafkaSink, LogSink, NoopSink, kafka_options, probe, sinks_of
 from tidewatch.streaming import WindowRunner, run_with_restarts, start_off_hours_stream, start_window_stream
 
 START = datetime(2026, 8, 17, 21)
@@ -68,6 +72,62 @@ def test_failures_are_bounded(spark, tmp_path):
     assert r.counters.query_failures == 2
 
 
+def test_failures_of_the_store_are_bounded(spark, tmp_path):
+    r = runner(spark, tmp_path, rows(1), max_failures=3)
+    assert r.safe_end() is not None and r.counters.watermark_queries == 1
+    good, r.read = r.read, lambda s: s.read.jdbc("jdbc:nosuch://127.0.0.1/x", "t")
+    assert r.step() == "failed" and r.step() == "failed" and r.failures == 2
+    r.read = good  # the watermark is asked anew after a failure, and a window that works ends the row of failures
+    before = r.counters.watermark_queries
+    assert r.step() == "processed" and r.failures == 0 and r.counters.watermark_queries == before + 1
+    r.read = lambda s: s.read.jdbc("jdbc:nosuch://127.0.0.1/x", "t")
+    r.cfg = replace(r.cfg, max_failures=1)
+    r.cursor = lambda: START
+    with pytest.raises(Py4JJavaError):
+        r.step()
+
+
+@pytest.mark.parametrize("hour_col", [None, "hour"])
+def test_unreadable_text_times_are_counted_once(spark, tmp_path, hour_col):
+    d = spark.createDataFrame(rows(3), METRICS)
+    bad = d.limit(2).withColumn("collect_time", F.lit("not a time"))
+    text = d.withColumn("collect_time", F.date_format("collect_time", "yyyy-MM-dd HH:mm:ss")).unionByName(bad)
+    text = text.withColumns({"hour": F.lit(START).cast("timestamp_ntz")})
+    r = runner(spark, tmp_path, rows(3))
+    r = WindowRunner(spark, lambda s: text, r.store, r.sinks, r.cfg, today=lambda: date(2026, 8, 17), sleep=lambda s: None, hour_col=hour_col)
+    c = r.run(until_waiting=True)
+    assert c.processed_windows == 3 and c.queried_rows == 9 and c.bad_rows == 2 and c.query_failures == 0
+    assert r.sizes["pairs"] == 3 and r.sizes["context_days"] > 0
+
+
+def test_today_is_that_of_the_business_zone(spark, tmp_path):
+    for zone in ("Pacific/Kiritimati", "Etc/GMT+12"):
+        r = WindowRunner(spark, lambda s: None, StateStore(spark, str(tmp_path / "s")), [], Config(timezone=zone))
+        assert r.today() == datetime.now(ZoneInfo(zone)).date()
+
+
+def test_progress_reaches_the_scan(spark, tmp_path):
+    spark.createDataFrame(rows(), METRICS).write.parquet(str(tmp_path / "m"))
+    d = spark.read.parquet(str(tmp_path / "m"))
+    p = progress(d, date(2026, 8, 17), 3)
+    plan = p._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(collect_time,2026-08-15T00:00)" in plan and "LessThan(collect" in plan
+    assert p.first()["latest"] == START + timedelta(minutes=15)
+    assert progress(d, date(2026, 8, 16), 3).first()["latest"] is None and progress(d, date(2026, 8, 20), 3).first()["latest"] is None
+    text = d.withColumn("collect_time", F.date_format("collect_time", "yyyy-MM-dd HH:mm:ss"))
+    assert progress(text, date(2026, 8, 17), 1).first()["latest"] == START + timedelta(minutes=15)
+
+
+def test_old_versions_are_dropped(spark, tmp_path):
+    r = runner(spark, tmp_path, rows(6))
+    assert r.run(until_waiting=True).processed_windows == 6
+    for name in ("manifest", "pair-history", "context-history"):
+        assert len([p for p in (tmp_path / "state" / name).iterdir() if p.is_dir()]) == 3
+    assert r.store.latest() == 5 and r.store.read(3).cursor == START + timedelta(minutes=20)
+    with pytest.raises(ValueError):
+        StateStore(spark, "x", keep=1)
+
+
 def test_restarts_are_bounded(spark, tmp_path):
     made = []
 
@@ -126,7 +186,18 @@ def test_sinks(spark, tmp_path, caplog):
     b = Delivery(Bad())
     with pytest.raises(OSError):
         b.write(lines, 0)
-    assert d.summary()["delivered"] == 1 and b.summary() | {} == {"attempted": 1, "delivered": 0, "failed": 1, "in_flight": 0, "first_failure": "OSError: down"}
+    assert d.summary()["delivered"] == 1 and d.summary()["delivered_bytes"] == 2 and d.acknowledged and not b.acknowledged
+    got = b.summary()
+    assert {k: got[k] for k in ("attempted", "delivered", "failed", "in_flight", "first_failure")} == {
+        "attempted": 1, "delivered": 0, "failed": 1, "in_flight": 0, "first_failure": "OSError: down"}
+    now = [1_000.0]
+    t = Delivery(NoopSink(), seconds=300, clock=lambda: now[0])
+    for now[0] in (1_000.0, 1_100.0, 1_250.0, 2_500.0):
+        t.write(lines, 0)
+    assert [(s["since"], s["until"], s["delivered"]) for s in t.summaries] == [(900.0, 1_200.0, 2), (1_200.0, 2_400.0, 1)]
+    assert t.close()["delivered"] == 1 and t.summaries[-1]["total"]["delivered"] == 4
+    keyed = KafkaSink("h:1", "t").records(spark.createDataFrame([("1", "{}")], "log_id string, value string"))
+    assert [tuple(r) for r in keyed.collect()] == [("1", "{}")] and keyed.columns == ["key", "value"]
     assert isinstance(sinks_of(Config())[0], NoopSink) and isinstance(sinks_of(Config(log_enabled=True))[0], LogSink)
     with pytest.raises(ConfigError):
         sinks_of(Config(kafka_enabled=True))

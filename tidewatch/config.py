@@ -83,9 +83,10 @@ class Config:
     kafka_enabled: bool = False
     delivery_guarantee: str = "at_least_once"
     checkpoint_enabled: bool = True
-    #: None: exact histograms of values; else the significant digits values are rounded to in them,
-    #: which bounds a context's day to 9 * 10**(digits - 1) * 19 values however many rows it has.
-    histogram_digits: int | None = None
+    #: Significant digits that values are rounded down to in quantiles and histograms, which bounds a
+    #: context's day to 9 * 10**(digits - 1) * 19 values however many rows it has, at an error of
+    #: 10**(1 - digits) of the value at most; None: exact.
+    histogram_digits: int | None = 3
 
     def __post_init__(self) -> None:
         def need(ok: bool, what: str) -> None:
@@ -93,6 +94,7 @@ class Config:
                 raise ConfigError(what)
 
         need(self.window_minutes > 0 and 60 % self.window_minutes == 0, "window.size.minutes must be a positive divisor of 60")
+        need(self.histogram_digits is None or 1 <= self.histogram_digits <= 19, "histogram_digits must be from 1 to 19, or None")
         need(self.slot_minutes > 0 and 60 % self.slot_minutes == 0, "history.context.slot.minutes must be a positive divisor of 60")
         need(self.start_mode in ("latest_data", "latest_closed", "fixed"), "source.start.mode must be latest_data, latest_closed or fixed")
         need(self.start_mode != "fixed" or bool(self.start_time), "source.start.time is required when source.start.mode is fixed")

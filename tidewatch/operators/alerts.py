@@ -33,8 +33,11 @@ def number(alerts: DataFrame, cfg: Config, day: date, first: int = 0) -> DataFra
     """Alerts with a log id: in order of window, type and weight, from ``first``.
 
     Rows are numbered within a window; windows' counts are summed up to
-    offsets, so no task ranks all alerts.
+    offsets, so no task ranks all alerts. Alerts that have a ``log_id``
+    already are refused: an id is given once.
     """
+    if "log_id" in alerts.columns:
+        raise ValueError("alerts are numbered already")
     counts = alerts.groupBy("win").agg(F.count(F.lit(1)).alias("n"))
     before = counts.select("win", (F.sum("n").over(W.orderBy("win")) - F.col("n")).alias("before"))
     place = F.row_number().over(W.partitionBy("win").orderBy("anomaly_type", F.col("weight").desc(), "collect_time", "src_ip", "dst_ip", "protocol"))

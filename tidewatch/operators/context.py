@@ -23,8 +23,8 @@ def disc(q: float, column: str) -> Column:
 def window_stats(rows: DataFrame, cfg: Config) -> DataFrame:
     """P50, P90 and the high quantile of bytes and packets per window and context.
 
-    Exact and merged map-side; with ``histogram_digits`` values are rounded
-    first, which bounds what a context holds.
+    Merged map-side; values are rounded to ``histogram_digits`` first, which
+    bounds what a context holds, unless that is None.
     """
     rows = rows.select("win", *CONTEXT, *[rounded(F.col(c), cfg).alias(c) for c in ("total_bytes", "total_pkts")])
     aggs = [disc(q, c).alias(f"{name}_{m}") for m, c, high in (("bytes", "total_bytes", cfg.bytes_quantile), ("pkts", "total_pkts", cfg.pkts_quantile))
@@ -37,7 +37,7 @@ def rounded(c: Column, cfg: Config) -> Column:
     if cfg.histogram_digits is None:
         return c
     unit = F.pow(F.lit(10.0), F.greatest(F.length(c.cast("string")) - cfg.histogram_digits, F.lit(0))).cast("bigint")
-    return F.when(c > 0, (F.floor(c / unit) * unit).cast("bigint")).otherwise(c)
+    return F.when(c > 0, c - c % unit).otherwise(c)
 
 
 def day_histograms(rows: DataFrame, cfg: Config) -> DataFrame:
@@ -123,7 +123,10 @@ def history_capped(hist: DataFrame, cfg: Config) -> DataFrame:
     capped histograms. The day by day recursion runs per context over
     histograms, never over rows; contexts run in parallel. Rows reach a task
     sorted by context and day and are folded as they come, so a task holds
-    one context's retained days."""
+    one context's retained days: with ``histogram_digits`` of 3 some 11 000
+    values a day and measure at most, whatever the number of rows. Where it is
+    None, nearly every row's value is its own and the days are as large as
+    they come, which is for small tables."""
     ship(hist.sparkSession)
     keys = [*CONTEXT]
     schema = f"context_protocol string, day_type string, slot int, day date, days int, {', '.join(f'{s} bigint' for s in STATS)}"

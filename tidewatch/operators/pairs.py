@@ -121,18 +121,42 @@ def _plain(c: pd.Series) -> list:
 
 
 def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
-    p = pd.DataFrame(rows, columns=names, dtype=object)
-    for c in ("win", "collect_time", "last_seen", "update_time"):
+    return _times(pd.DataFrame(rows, columns=names, dtype=object), ("win", "collect_time", "last_seen", "update_time"))
+
+
+def _times(p: pd.DataFrame, columns: tuple[str, ...]) -> pd.DataFrame:
+    for c in columns:
         p[c] = pd.to_datetime(p[c])
     return p
 
 
 def ema(rows: DataFrame, alpha: float, value: str = "total_bytes") -> DataFrame:
-    """Average, samples and last time of each pair over its rows by time, without expiry or rules."""
-    xs = F.sort_array(F.collect_list(F.struct("collect_time", "row_id", F.col(value).cast("double").alias("x"))))
-    d = rows.groupBy(*PAIR).agg(xs.alias("xs"), F.max("collect_time").alias("last_seen"))
-    fold = F.aggregate(F.slice("xs", F.lit(2), F.size("xs")), F.col("xs")[0]["x"], lambda e, s: e * (1 - alpha) + s["x"] * alpha)
-    return d.select(*PAIR, fold.alias("ema"), F.size("xs").cast("bigint").alias("samples"), "last_seen")
+    """Average, samples and last time of each pair over its rows by time, without
+    expiry or rules. Rows reach a task sorted and are folded as they come, so a
+    pair's rows are never held together."""
+    ship(rows.sparkSession)
+    schema = "src_ip string, dst_ip string, protocol string, ema double, samples bigint, last_seen timestamp_ntz"
+    names = [*PAIR, "ema", "samples", "last_seen"]
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pair, e, n, last, out = None, 0.0, 0, None, []
+        for p in batches:
+            for a, b, c, t, x in zip(*(_plain(p[k]) for k in (*PAIR, "collect_time", "x"))):
+                if (a, b, c) != pair:
+                    if pair:
+                        out.append((*pair, e, n, last))
+                    pair, e, n = (a, b, c), x, 0
+                else:
+                    e = e * (1 - alpha) + x * alpha
+                n, last = n + 1, t
+            yield _times(pd.DataFrame(out, columns=names), ("last_seen",))
+            out = []
+        if pair:
+            out.append((*pair, e, n, last))
+        yield _times(pd.DataFrame(out, columns=names), ("last_seen",))
+
+    d = rows.select(*PAIR, "collect_time", "row_id", F.col(value).cast("double").alias("x"))
+    return d.repartition(*PAIR).sortWithinPartitions(*PAIR, "collect_time", "row_id").mapInPandas(fold, schema)
 
 
 def expire(state: DataFrame, end, ttl_days: int) -> DataFrame:

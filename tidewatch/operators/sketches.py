@@ -6,7 +6,7 @@ import heapq
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -67,28 +67,45 @@ class SpaceSaving:
         return [(k, v[0], v[1], v[2]) for k, v in best]
 
 
-def heavy_hitters(rows: DataFrame, cfg: Config) -> DataFrame:
-    """Top pairs of each window by Space-Saving in bounded memory: a sketch of
-    ``sketch_capacity`` counters in each task and window, whose estimates are
-    added up by pair. Exact while no task's sketch is full; estimate - error
-    never exceeds the truth."""
+def heavy_hitters(rows: DataFrame, cfg: Config, parts: int = 8) -> DataFrame:
+    """Top pairs of each window by Space-Saving in bounded memory.
+
+    Rows are added up by window and pair first, map-side combined. The pairs
+    of a window are dealt by hash to ``parts`` sketches of ``sketch_capacity``
+    counters, each fed in the order of another hash, so the result does not
+    depend on how the input is partitioned, and a task holds one sketch at a
+    time. A pair is in one sketch only: its estimate never falls short of
+    the truth, estimate - error never exceeds it, and of a sketch given w in
+    all, every pair above w / capacity is kept. Exact while no sketch is full.
+    """
     ship(rows.sparkSession)
     cap = cfg.sketch_capacity
 
     def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sketches: dict = {}
+        at, sketch, out = None, None, []
+
+        def close() -> None:
+            if sketch:
+                out.extend((at[0], *k, n, e, t) for k, n, e, t in sketch.top(cap))
+
         for p in batches:
-            for w, *pair, n, t in zip(p["win"], *(p[c] for c in PAIR), p["conn_count"], p["collect_time"]):
-                sketches.setdefault(w, SpaceSaving(cap)).add(tuple(pair), int(n), t)
-        rows_ = [(w, *k, n, e, t) for w, s in sketches.items() for k, n, e, t in s.top(cap)]
-        yield pd.DataFrame(rows_, columns=["win", *PAIR, "estimate", "error", "collect_time"])
+            for w, part, *pair, n, t in zip(p["win"], p["part"], *(p[c] for c in PAIR), p["conns"], p["collect_time"]):
+                if (w, part) != at:
+                    close()
+                    at, sketch = (w, part), SpaceSaving(cap)
+                sketch.add(tuple(pair), int(n), t)
+            yield pd.DataFrame(out, columns=["win", *PAIR, "estimate", "error", "collect_time"])
+            out = []
+        close()
+        yield pd.DataFrame(out, columns=["win", *PAIR, "estimate", "error", "collect_time"])
 
     kinds = "win timestamp_ntz, src_ip string, dst_ip string, protocol string, estimate bigint, error bigint, collect_time timestamp_ntz"
-    off = rows.filter(F.col("is_off_hours") & (F.col("conn_count") > 0)).select("win", *PAIR, "conn_count", "collect_time")
-    merged = off.mapInPandas(local, kinds).groupBy("win", *PAIR).agg(
-        saturating_sum(F.col("estimate")).alias("estimate"), saturating_sum(F.col("error")).alias("error"), F.max("collect_time").alias("collect_time"))
+    totals = rows.filter(F.col("is_off_hours") & (F.col("conn_count") > 0)).groupBy("win", *PAIR).agg(
+        saturating_sum(F.col("conn_count")).alias("conns"), F.max("collect_time").alias("collect_time"))
+    dealt = totals.withColumns({"part": F.pmod(F.xxhash64(F.lit(1), *PAIR), F.lit(parts)).cast("int"), "turn": F.xxhash64(F.lit(2), *PAIR)})
+    kept = dealt.repartition("win", "part").sortWithinPartitions("win", "part", "turn", *PAIR).mapInPandas(local, kinds)
     order = W.partitionBy("win").orderBy(F.col("estimate").desc(), *PAIR)
-    return merged.withColumn("top_rank", F.row_number().over(order)).filter(F.col("top_rank") <= cfg.topn)
+    return kept.withColumn("top_rank", F.row_number().over(order)).filter(F.col("top_rank") <= cfg.topn)
 
 
 def count_min(rows: DataFrame, key: str, eps: float = 0.001, confidence: float = 0.99, seed: int = 1) -> bytes:
@@ -130,14 +147,23 @@ class CountMin:
         self.table = np.where(total < 0, LONG_MAX, total)
 
 
-def count_min_estimates(rows: DataFrame, depth: int = 5, width: int = 4096) -> DataFrame:
-    """Estimated and true connections of each pair, the sketch built and added
-    up with DataFrame aggregation: one counter per (row, column), at most
-    ``depth`` * ``width`` of them, whatever the number of pairs."""
-    d = rows.select(F.concat_ws("|", *PAIR).alias("pair"), F.col("conn_count").alias("w")).groupBy("pair").agg(F.sum("w").alias("exact"))
-    cells = d.select("pair", "exact", F.posexplode(F.array(*[F.pmod(F.xxhash64(F.lit(i), "pair"), F.lit(width)) for i in range(depth)])).alias("row", "col"))
-    table = cells.groupBy("row", "col").agg(F.sum("exact").alias("count"))
-    return cells.join(F.broadcast(table), ["row", "col"]).groupBy("pair", "exact").agg(F.min("count").alias("estimate"))
+def _cells(pair: str, depth: int, width: int) -> Column:
+    """A pair's column in each row of the table: the first 32 bits of MD5(row:pair), which any engine can repeat."""
+    one = lambda i: F.conv(F.substring(F.md5(F.concat(F.lit(f"{i}:"), F.col(pair))), 1, 8), 16, 10).cast("bigint") % width
+    return F.posexplode(F.array(*map(one, range(depth)))).alias("row", "col")
+
+
+def count_min_table(rows: DataFrame, depth: int = 5, width: int = 4096) -> DataFrame:
+    """Connections added up into ``depth`` * ``width`` counters at most, map-side
+    combined, so nothing grows with the number of pairs; tables merge by adding."""
+    d = rows.select(F.concat_ws("|", *PAIR).alias("pair"), F.col("conn_count").alias("w"))
+    return d.select("w", _cells("pair", depth, width)).groupBy("row", "col").agg(F.sum("w").alias("count"))
+
+
+def count_min_estimates(pairs: DataFrame, table: DataFrame, depth: int = 5, width: int = 4096) -> DataFrame:
+    """Estimated connections of the given distinct pairs: the least of their counters, never less than the truth."""
+    cells = pairs.select("pair", _cells("pair", depth, width))
+    return cells.join(F.broadcast(table), ["row", "col"]).groupBy("pair").agg(F.min("count").alias("estimate"))
 
 
 def kll_window_stats(rows: DataFrame, cfg: Config, k: int = 200) -> DataFrame:

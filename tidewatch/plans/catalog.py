@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..config import Config
@@ -18,8 +20,9 @@ from ..sources.fixtures import EVENTS_SQL, from_events
 from ..sources.metrics import bad_rows, normalize, time_predicate, watermark
 from . import backfill
 
-CFG = Config(window_minutes=60, slot_minutes=60, empty_advance=True, device_id="123456")
-COLD = Config(window_minutes=60, slot_minutes=60, bytes_quantile=0.9, pkts_quantile=0.9)
+#: Exact quantiles, as in the SQL.
+CFG = Config(window_minutes=60, slot_minutes=60, empty_advance=True, device_id="123456", histogram_digits=None)
+COLD = Config(window_minutes=60, slot_minutes=60, bytes_quantile=0.9, pkts_quantile=0.9, histogram_digits=None)
 DAY = date(2026, 8, 18)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -197,6 +200,16 @@ def context_history_capped(spark, sf):
     return ctx.history_capped(ctx.day_histograms(_rows(spark, sf), CFG), CFG)
 
 
+_ROUNDED = "CASE WHEN {c} > 0 THEN {c} - {c} % CAST(pow(10, greatest(len(CAST({c} AS VARCHAR)) - 2, 0)) AS BIGINT) ELSE {c} END AS {c}"
+
+
+@query(", mr AS (SELECT * REPLACE (" + ", ".join(_ROUNDED.format(c=c) for c in ("total_bytes", "total_pkts")) + ") FROM m)"
+       + _CAPPED.format(q=0.999).replace("FROM m GROUP", "FROM mr GROUP") + " SELECT * FROM past", recursive=True)
+def context_history_rounded(spark, sf):
+    cfg = replace(CFG, histogram_digits=2)
+    return ctx.history_capped(ctx.day_histograms(_rows(spark, sf), cfg), cfg)
+
+
 _CURRENT = """,
 cur AS (SELECT win, context_protocol, day_type, slot, {q} FROM m GROUP BY win, context_protocol, day_type, slot),
 cand AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY win ORDER BY {o}) <= 20000)"""
@@ -355,20 +368,58 @@ def heavy_hitters_space_saving(spark, sf):
     return sketches.heavy_hitters(_rows(spark, sf), CFG)
 
 
-@query("\nSELECT count(DISTINCT (src_ip, dst_ip, protocol)) AS pairs, 0::BIGINT AS underestimated FROM m")
+@query(f"\nSELECT win, count(*) AS pairs, CAST(sum(conns) AS BIGINT) AS conns, count(*) > 4 AS evicted, true AS within, true AS found FROM ({_TOTALS}) GROUP BY win")
+def heavy_hitters_small_sketch(spark, sf):
+    """Sketches of fewer counters than pairs: bounds of all estimates, and whether all heavy pairs are kept."""
+    cfg = replace(CFG, sketch_capacity=4, topn=3)
+    rows = _rows(spark, sf)
+    kept = sketches.heavy_hitters(rows, cfg, parts=1)
+    exact = offhours.pair_totals(rows).drop("collect_time")
+    d = exact.join(kept.select("win", *PAIR, "estimate", "error"), ["win", *PAIR], "left")
+    d = d.withColumn("all", F.sum("conns").over(W.partitionBy("win")))
+    within = F.col("estimate").isNull() | ((F.col("estimate") >= F.col("conns")) & (F.col("estimate") - F.col("error") <= F.col("conns")))
+    # topn of 3 of 4 counters: what is above a third of all is among them
+    found = F.col("estimate").isNotNull() | (F.col("conns") <= F.col("all") / 3)
+    return d.groupBy("win").agg(F.count(F.lit(1)).alias("pairs"), F.sum("conns").alias("conns"), (F.count(F.lit(1)) > 4).alias("evicted"),
+                                F.min(within).alias("within"), F.min(found).alias("found"))
+
+
+_CM_DEPTH, _CM_WIDTH = 3, 64
+
+
+@query(f""",
+pw AS (SELECT src_ip || '|' || dst_ip || '|' || protocol AS pair, sum(conn_count) AS w FROM m GROUP BY ALL),
+cell AS (SELECT pair, w, i, CAST('0x' || substr(md5(i || ':' || pair), 1, 8) AS BIGINT) % {_CM_WIDTH} AS col FROM pw, range({_CM_DEPTH}) t(i)),
+tab AS (SELECT i, col, sum(w) AS n FROM cell GROUP BY ALL)
+SELECT pair, CAST(w AS BIGINT) AS exact, CAST(min(n) AS BIGINT) AS estimate FROM cell JOIN tab USING (i, col) GROUP BY ALL""")
 def count_min_estimate(spark, sf):
-    d = sketches.count_min_estimates(_metrics(spark, sf))
-    return d.agg(F.count(F.lit(1)).alias("pairs"), F.count_if(F.col("estimate") < F.col("exact")).alias("underestimated"))
+    rows = _metrics(spark, sf)
+    exact = rows.groupBy(F.concat_ws("|", *PAIR).alias("pair")).agg(F.sum("conn_count").alias("exact"))
+    table = sketches.count_min_table(rows, _CM_DEPTH, _CM_WIDTH)
+    return sketches.count_min_estimates(exact, table, _CM_DEPTH, _CM_WIDTH).join(exact, "pair").select("pair", "exact", "estimate")
 
 
-@query()
+@query("\nSELECT context_protocol, day_type, count(*) AS n, true AS p50_ok, true AS p90_ok, true AS high_ok FROM m GROUP BY ALL")
 def kll_quantiles(spark, sf):
-    return sketches.kll_window_stats(_rows(spark, sf), CFG)
+    """Whether the rank of each estimate is within 0.05 of its quantile."""
+    rows = _rows(spark, sf).withColumns({"win": F.lit("2024-01-01").cast("timestamp_ntz"), "slot": F.lit(0)})
+    est = sketches.kll_window_stats(rows, CFG).select("context_protocol", "day_type", "p50_bytes", "p90_bytes", "high_bytes")
+    d = rows.select("context_protocol", "day_type", "total_bytes").join(est, ["context_protocol", "day_type"])
 
+    def ok(name: str, q: float):
+        below, upto = F.count_if(F.col("total_bytes") < F.col(name)), F.count_if(F.col("total_bytes") <= F.col(name))
+        n = F.count(F.lit(1))
+        return ((below / n <= q + 0.05) & (upto / n >= q - 0.05)).alias(name.replace("bytes", "ok"))
 
-@query()
+    return d.groupBy("context_protocol", "day_type").agg(F.count(F.lit(1)).alias("n"), ok("p50_bytes", 0.5), ok("p90_bytes", 0.9), ok("high_bytes", 0.999))
+
+
+@query(f"""
+SELECT win, CAST(row_number() OVER (PARTITION BY win ORDER BY n DESC) AS INTEGER) AS top_rank, n AS "count"
+FROM (SELECT win, count(*) AS n FROM m WHERE {_OFF} GROUP BY win, src_ip, dst_ip, protocol) QUALIFY top_rank <= 100""")
 def approx_top_k_pairs(spark, sf):
-    return sketches.approx_top_pairs(_rows(spark, sf), CFG)
+    """Counts by rank; of pairs with equal counts any may come first."""
+    return sketches.approx_top_pairs(_rows(spark, sf), CFG).select("win", "top_rank", "count")
 
 
 @query("""
@@ -461,8 +512,7 @@ def empty_windows(spark, sf):
 
 
 @query("""
-SELECT row_id, win FROM m WHERE win < time_bucket(INTERVAL 5 MINUTE, TIMESTAMP '2024-01-20 12:37:00' - INTERVAL 60 MINUTE) AND win < TIMESTAMP '2024-01-20 11:00:00' AND row_id % 10 = 0""", minutes=5)
+SELECT row_id, win FROM m WHERE win < time_bucket(INTERVAL 5 MINUTE, TIMESTAMP '2024-01-20 12:37:00' - INTERVAL 60 MINUTE) AND win < TIMESTAMP '2024-01-20 11:00:00'""", minutes=5)
 def late_rows_after_watermark(spark, sf):
     safe = watermark(F.lit("2024-01-20 12:37:00").cast("timestamp_ntz"), Config())
-    arrived = _rows(spark, sf, Config()).filter("row_id % 10 = 0")  # the rows that arrive a second time in this scenario
-    return windows.late_rows(arrived, safe, F.lit("2024-01-20 11:00:00").cast("timestamp_ntz")).select("row_id", "win")
+    return windows.late_rows(_rows(spark, sf, Config()), safe, F.lit("2024-01-20 11:00:00").cast("timestamp_ntz")).select("row_id", "win")

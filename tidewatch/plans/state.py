@@ -16,10 +16,13 @@ PAIRS, CONTEXTS, MANIFEST = "pair-history", "context-history", "manifest"
 class StateStore:
     """State versions 0, 1, ... under ``root``. A version counts once its
     manifest is written, which is after its tables; writing a version again
-    replaces it, so a batch that is run again leaves the same state."""
+    replaces it, so a batch that is run again leaves the same state. Of older
+    versions ``keep`` stay, the manifest of a dropped one going first."""
 
-    def __init__(self, spark: SparkSession, root: str) -> None:
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, keep: int = 3) -> None:
+        if keep < 2:
+            raise ValueError("the newest version and the one before it are in use")
+        self.spark, self.root, self.keep = spark, root.rstrip("/"), keep
 
     def latest(self) -> int | None:
         try:
@@ -36,6 +39,19 @@ class StateStore:
         row = [(version, state.cursor.isoformat() if state.cursor else "", state.log_ids)]
         self.spark.createDataFrame(row, "version long, cursor string, log_ids string").coalesce(1).write.mode("overwrite").json(
             f"{self.root}/{MANIFEST}/v{version:012d}")
+        self._prune(version - self.keep)
+
+    def _prune(self, last: int) -> None:
+        """Drop the versions up to ``last``; a gap ends it, since what is older went before."""
+        for v in range(last, -1, -1):
+            if not self._delete(f"{MANIFEST}/v{v:012d}"):
+                break
+            self._delete(f"{PAIRS}/v={v}")
+            self._delete(f"{CONTEXTS}/v={v}")
+
+    def _delete(self, name: str) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def read(self, version: int | None = None) -> State:
         """The given or the newest complete version; the empty state if there is none."""

@@ -14,10 +14,13 @@ _shipped: set[str] = set()
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; one of our own only where none is set."""
+    """The shared folder of the cluster; one of our own only in local mode, where none is
+    set. On a cluster a folder of this machine would be no one else's, so that is an error."""
     sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not (sc.master or "").startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="tidewatch-ckpt-"))
     return sc._jsc.sc().getCheckpointDir().get()
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,13 +50,21 @@ def time_predicate(start: datetime, end: datetime, day_col: str | None = None, h
     range on day and hour columns where the table has them."""
     ts = lambda t: F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
     out = (F.col(ts_col) >= ts(start)) & (F.col(ts_col) < ts(end))
-    if hour_col:
-        low, high = hour_bounds(start, end)
-        out = (F.col(hour_col) >= ts(low)) & (F.col(hour_col) < ts(high)) & out
+    parts = partition_predicate(start, end, day_col, hour_col)
+    return out if parts is None else parts & out
+
+
+def partition_predicate(start: datetime, end: datetime, day_col: str | None = None, hour_col: str | None = None) -> Column | None:
+    """The part of ``time_predicate`` that is on day and hour columns; None without any."""
+    ts = lambda t: F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
+    out = []
     if day_col:
         low, high = day_bounds(start, end)
-        out = (F.col(day_col) >= F.lit(low)) & (F.col(day_col) <= F.lit(high)) & out
-    return out
+        out.append((F.col(day_col) >= F.lit(low)) & (F.col(day_col) <= F.lit(high)))
+    if hour_col:
+        low, high = hour_bounds(start, end)
+        out.append((F.col(hour_col) >= ts(low)) & (F.col(hour_col) < ts(high)))
+    return reduce(lambda a, b: a & b, out) if out else None
 
 
 def read_metrics(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
@@ -104,10 +113,29 @@ def bad_rows(df: DataFrame) -> DataFrame:
 
 
 def progress(df: DataFrame, today: date, lookback_days: int, ts_col: str = "collect_time", day_col: str | None = None) -> DataFrame:
-    """One row: the latest time of the last ``lookback_days`` days."""
+    """One row: the latest time of the last ``lookback_days`` days. The range is a
+    plain predicate on the day column or, without one, on the time column, so it
+    reaches the scan; only text times must be parsed first."""
+    first = today - timedelta(days=max(1, lookback_days) - 1)
+    ts = F.col(ts_col)
+    if dict(df.dtypes)[ts_col] == "string":
+        ts = parse_time(ts)
+    if day_col:
+        span = (F.col(day_col) >= F.lit(first)) & (F.col(day_col) <= F.lit(today))
+    else:
+        at = lambda d: F.lit(d.isoformat()).cast("timestamp_ntz")
+        span = (ts >= at(first)) & (ts < at(today + timedelta(days=1)))
+    return df.filter(span).agg(F.max(ts).alias("latest"))
+
+
+def jdbc_progress(spark: SparkSession, url: str, table: str, today: date, lookback_days: int, *, day_col: str = "dayTime",
+                  ts_col: str = "collectTime", timeout_seconds: int = 120, **options: str) -> DataFrame:
+    """``progress`` asked of the store itself: it is sent the range of days and the maximum, under a timeout of its own."""
+    for c in (day_col, ts_col):
+        table_name(c)
     first = today - timedelta(days=max(1, lookback_days) - 1)
-    day = F.col(day_col) if day_col else F.to_date(ts_col)
-    return df.filter((day >= F.lit(first)) & (day <= F.lit(today))).agg(F.max(ts_col).alias("latest"))
+    sql = f"SELECT MAX({ts_col}) AS latest FROM {table_name(table)} WHERE {day_col} >= '{first}' AND {day_col} <= '{today}'"
+    return spark.read.format("jdbc").options(url=url, query=sql, queryTimeout=str(timeout_seconds), **options).load()
 
 
 def watermark(latest: Column, cfg: Config) -> Column:

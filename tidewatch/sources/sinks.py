@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import logging
+import time
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import Config, ConfigError
 
-LOGGER = logging.getLogger("ANOMALY_ALERT")
+LOGGER, LOG = logging.getLogger("ANOMALY_ALERT"), logging.getLogger("tidewatch.sinks")
 
 
 class Sink(Protocol):
@@ -47,16 +50,20 @@ class NoopSink:
 
 @dataclass
 class KafkaSink:
-    """Values only, at least once: Spark's Kafka sink has no transactions, so
-    consumers that need more drop repeated log ids. Needs the connector."""
+    """At least once: Spark's Kafka sink has no transactions. The log id is the
+    record's key, and a version that is written again has the same ids, so a
+    compacted topic, or a consumer that drops repeated keys, has each alert
+    once. Needs the connector."""
 
     servers: str
     topic: str
     options: dict[str, str] = field(default_factory=dict)
 
+    def records(self, lines: DataFrame) -> DataFrame:
+        return lines.selectExpr("cast(log_id as string) as key", "cast(value as string) as value")
+
     def write(self, lines: DataFrame, version: int) -> None:
-        (lines.selectExpr("cast(value as string) as value").write.format("kafka").options(**kafka_options(self.servers, self.options))
-         .option("topic", self.topic).save())
+        self.records(lines).write.format("kafka").options(**kafka_options(self.servers, self.options)).option("topic", self.topic).save()
 
 
 def kafka_options(servers: str, more: dict[str, str] | None = None, kerberos: bool = False) -> dict[str, str]:
@@ -94,30 +101,64 @@ def probe(servers: str, timeout: float = 10.0, fail_fast: bool = False) -> list[
 
 @dataclass
 class Delivery:
-    """Counts of what a sink took, and the first failure of each summary."""
+    """Records and bytes that a sink took, in summaries of time spans aligned to
+    ``seconds``: spans without records are passed over, the first failure of
+    each is logged at once, as is the first batch that is ever acknowledged."""
 
     sink: Sink
-    attempted: int = 0
-    delivered: int = 0
-    failed: int = 0
-    first_failure: str = ""
+    seconds: int = 300
+    clock: Callable[[], float] = time.time
+    summaries: list[dict[str, object]] = field(default_factory=list)
+
+    def __post_init__(self) -> None:
+        if self.seconds < 1:
+            raise ValueError("seconds must be positive")
+        self.total = {"attempted": 0, "attempted_bytes": 0, "delivered": 0, "delivered_bytes": 0, "failed": 0}
+        self.last, self.first_failure, self.acknowledged = dict(self.total), "", False
+        self.since = self._start()
+
+    def _start(self) -> float:
+        return self.clock() // self.seconds * self.seconds
 
     def write(self, lines: DataFrame, version: int) -> None:
-        n = lines.count()
-        self.attempted += n
+        self._turn()
+        r = lines.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("value")), F.lit(0)).alias("b")).first()
+        self.total["attempted"] += r["n"]
+        self.total["attempted_bytes"] += r["b"]
         try:
             self.sink.write(lines, version)
-            self.delivered += n
         except Exception as e:
-            self.failed += n
-            self.first_failure = self.first_failure or f"{type(e).__name__}: {e}"
+            self._turn()
+            self.total["failed"] += r["n"]
+            if not self.first_failure:
+                self.first_failure = f"{type(e).__name__}: {e}"
+                LOG.error("delivery failed: %s", self.first_failure)
             raise
-
-    def summary(self) -> dict[str, object]:
-        out = {"attempted": self.attempted, "delivered": self.delivered, "failed": self.failed,
-               "in_flight": self.attempted - self.delivered - self.failed, "first_failure": self.first_failure}
-        self.first_failure = ""
-        return out
+        self._turn()
+        self.total["delivered"] += r["n"]
+        self.total["delivered_bytes"] += r["b"]
+        if not self.acknowledged and r["n"]:
+            self.acknowledged = True
+            LOG.info("first batch acknowledged: %d records, version %d", r["n"], version)
+
+    def _turn(self) -> None:
+        if (now := self._start()) > self.since:
+            if self.total != self.last:
+                self.summaries.append(self.summary(now))
+                LOG.info("delivery %s", self.summaries[-1])
+            self.last, self.first_failure, self.since = dict(self.total), "", now
+
+    def summary(self, until: float | None = None) -> dict[str, object]:
+        """What the span that is open has had, and all records since the start."""
+        part = {k: v - self.last[k] for k, v in self.total.items()}
+        return part | {"since": self.since, "until": self.clock() if until is None else until, "first_failure": self.first_failure,
+                       "in_flight": self.total["attempted"] - self.total["delivered"] - self.total["failed"], "total": dict(self.total)}
+
+    def close(self) -> dict[str, object]:
+        """The last summary, of a span that need not be over."""
+        self.summaries.append(self.summary())
+        LOG.info("delivery ends %s", self.summaries[-1])
+        return self.summaries[-1]
 
 
 def sinks_of(cfg: Config, kafka: KafkaSink | None = None) -> list[Sink]:

@@ -7,15 +7,20 @@ import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from datetime import date, datetime, timedelta
+from zoneinfo import ZoneInfo
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import Config
 from ..operators import alerts as al
 from ..plans.incremental import run_window
 from ..plans.state import StateStore
-from ..sources.metrics import bad_rows, check_aligned, normalize, progress, safe_end, time_predicate
+from ..schema import CONTEXT
+from ..functions import parse_time
+from ..sources.metrics import bad_rows, check_aligned, normalize, partition_predicate, progress, safe_end, time_predicate
 from ..sources.sinks import Sink
 
 LOG = logging.getLogger("tidewatch.runner")
@@ -41,19 +46,29 @@ class WindowRunner:
     latest time less the stable delay, floored. State, cursor and log ids are
     versions of a StateStore; alerts go to sinks under the same version
     before it, so a run that breaks off in between repeats that version.
+
+    today: the date that lookback and log ids go by, by default that of the
+    business time zone. latest: one row with the latest time, by default
+    ``progress`` over what ``read`` gives. What a store or Spark refuses counts
+    against the limit of failures in a row, and the watermark is asked anew.
     """
 
     def __init__(self, spark: SparkSession, read: Reader, store: StateStore, sinks: Sequence[Sink], cfg: Config, *,
-                 today: Callable[[], date] = date.today, clock: Callable[[], float] = time.monotonic,
+                 today: Callable[[], date] | None = None, latest: Callable[[SparkSession, date], DataFrame] | None = None, clock: Callable[[], float] = time.monotonic,
                  sleep: Callable[[float], None] = time.sleep, day_col: str | None = None, hour_col: str | None = None) -> None:
         self.spark, self.read, self.store, self.sinks, self.cfg = spark, read, store, sinks, cfg
-        self.today, self.clock, self.sleep, self.day_col, self.hour_col = today, clock, sleep, day_col, hour_col
+        zone = ZoneInfo(cfg.timezone)
+        self.today = today or (lambda: datetime.now(zone).date())
+        self.latest = latest or (lambda s, day: progress(read(s), day, cfg.watermark_lookback_days, day_col=day_col))
+        self.clock, self.sleep, self.day_col, self.hour_col = clock, sleep, day_col, hour_col
         self.counters, self.failures = Counters(), 0
+        self._bad: tuple[object, int] = (None, 0)  # partitions of the last window, and the bad rows counted in them
         self._safe: datetime | None = None
         self._refresh_at = float("-inf")
         self.version = store.latest()
         self.state = store.read(self.version)
         self.stopped = False
+        self.sizes: dict[str, int] = {}
 
     def stop(self) -> None:
         self.stopped = True
@@ -62,7 +77,7 @@ class WindowRunner:
         """End of the stable data, asked anew when it is unknown or its time is up."""
         if self._safe is None or self.clock() >= self._refresh_at:
             self.counters.watermark_queries += 1
-            latest = progress(self.read(self.spark), self.today(), self.cfg.watermark_lookback_days, day_col=self.day_col).first()["latest"]
+            latest = self.latest(self.spark, self.today()).first()["latest"]
             self._safe = safe_end(latest, self.cfg)
             self._refresh_at = self.clock() + max(5, self.cfg.watermark_poll_seconds)
         return self._safe
@@ -84,9 +99,10 @@ class WindowRunner:
             if start is None or safe is None or start + timedelta(minutes=self.cfg.window_minutes) > safe:
                 return "waiting"
             return self.process(start)
-        except PySparkException:
+        except (PySparkException, Py4JJavaError):  # the latter is what a JDBC driver's errors come as
             self.counters.query_failures += 1
             self.failures += 1
+            self._refresh_at = float("-inf")
             LOG.exception("window failed, %d of %d", self.failures, self.cfg.max_failures)
             if self.failures >= self.cfg.max_failures:
                 raise
@@ -95,15 +111,20 @@ class WindowRunner:
     def process(self, start: datetime) -> str:
         end = start + timedelta(minutes=self.cfg.window_minutes)
         raw = self.read(self.spark)
-        if dict(raw.dtypes)["collect_time"] != "string":
+        text = dict(raw.dtypes)["collect_time"] == "string"
+        if text:  # text times are no predicate: partition columns prune, and of the rest only this window's rows and unreadable ones are kept
+            parts = partition_predicate(start, end, self.day_col, self.hour_col)
+            raw = raw if parts is None else raw.filter(parts)
+            raw = raw.withColumn("_t", parse_time(F.col("collect_time")))
+            raw = raw.filter(F.col("_t").isNull() | time_predicate(start, end, ts_col="_t")).drop("_t")
+        else:
             raw = raw.filter(time_predicate(start, end, self.day_col, self.hour_col))
-        else:  # text times have no predicate of their own: partition columns prune, rows that can't be read are counted
-            raw = raw.filter(time_predicate(start, end, self.day_col, self.hour_col)) if self.hour_col else raw
         raw = raw.persist()
         try:
             good = normalize(raw, self.cfg).filter(time_predicate(start, end))
             rows = good.count()
-            self.counters.bad_rows += bad_rows(raw).count()
+            if text:
+                self._count_bad(start, bad_rows(raw).count())
             self.counters.queried_rows += rows
             if not rows and not self.cfg.empty_advance:
                 self.counters.empty_window_retries += 1
@@ -127,9 +148,17 @@ class WindowRunner:
         self.version, self.state, self.failures = version, self.store.read(version), 0
         self.counters.processed_windows += 1
         self.counters.emitted_alerts += n
-        LOG.info("window [%s, %s): %d rows, alerts %s", start, end, rows, by)
+        self.sizes = {"pairs": self.state.pairs.count(), "context_days": self.state.contexts.select(*CONTEXT, "day").distinct().count()}
+        LOG.info("window [%s, %s): %d rows, alerts %s, state %s", start, end, rows, by, self.sizes)
         return "processed"
 
+    def _count_bad(self, start: datetime, n: int) -> None:
+        """Rows without a time belong to no window, so all windows of the same partitions meet them: each counts once."""
+        scope = (start.date() if self.day_col else None, start.replace(minute=0) if self.hour_col else None)
+        before = self._bad[1] if self._bad[0] == scope else 0
+        self.counters.bad_rows += max(0, n - before)
+        self._bad = (scope, n)
+
     def run(self, until_waiting: bool = False) -> Counters:
         """Poll until stopped, or until no further window is ready."""
         waits = {"waiting": self.cfg.poll_seconds, "empty": self.cfg.empty_retry_seconds, "failed": self.cfg.retry_seconds}
