@@ -136,6 +136,103 @@ def test_loopy_propagation_is_exact_on_a_chain():
     assert np.allclose(got, [p.sum(tuple(j for j in range(n) if j != i)) for i in range(n)], atol=1e-6)
 
 
+def plain_marginals(m, bits, chain, skip):
+    """The same message passing with plain loops, of one document."""
+    k = len(pii.LABELS)
+    own = [[sum(m.unary[f][y] for f in range(pii.FEATURES) if b >> f & 1) for y in range(k)] for b in bits]
+    table = {}
+    for edges, pot in ((chain, m.chain), (skip, m.skip)):
+        for e, (a, b) in enumerate(edges):
+            table[id(pot), e, a, b] = (a, b, pot)
+            table[id(pot), e, b, a] = (b, a, pot.T)
+    back = {x: (x[0], x[1], x[3], x[2]) for x in table}
+    msg = {x: [0.0] * k for x in table}
+    for _ in range(pii.ROUNDS):
+        into = [list(o) for o in own]
+        for x, (_, b, _) in table.items():
+            into[b] = [u + v for u, v in zip(into[b], msg[x])]
+        new, moved = {}, 0.0
+        for x, (a, _, pot) in table.items():
+            raw = [np.logaddexp.reduce([into[a][y] - msg[back[x]][y] + pot[y][z] for y in range(k)]) for z in range(k)]
+            new[x] = [0.5 * o + 0.5 * (v - max(raw)) for o, v in zip(msg[x], raw)]
+            moved = max([moved, *(abs(u - v) for u, v in zip(new[x], msg[x]))])
+        msg = new
+        if moved < pii.TOLERANCE:
+            break
+    into = [list(o) for o in own]
+    for x, (_, b, _) in table.items():
+        into[b] = [u + v for u, v in zip(into[b], msg[x])]
+    p = np.exp(np.array(into) - np.max(into, axis=1, keepdims=True))
+    return p / p.sum(1, keepdims=True)
+
+
+def test_propagation_on_loops_against_brute_force():
+    r = np.random.default_rng(7)
+    k, n = len(pii.LABELS), 4
+    chain, skip = np.array([(0, 1), (1, 2), (2, 3)]), np.array([(0, 2), (1, 3)])
+    for scale, near in ((0.3, 0.02), (1.0, 0.2)):
+        m = pii.Crf(r.normal(size=(pii.FEATURES, k)), scale * r.normal(size=(k, k)), scale * r.normal(size=(k, k)))
+        bits = r.integers(0, 2**pii.FEATURES, n)
+        u = pii.unpack(bits) @ m.unary
+        joint = np.zeros([k] * n)
+        for x in np.ndindex(*joint.shape):
+            joint[x] = sum(u[i, x[i]] for i in range(n)) + sum(m.chain[x[a], x[b]] for a, b in chain) + sum(m.skip[x[a], x[b]] for a, b in skip)
+        p = np.exp(joint - joint.max())
+        p /= p.sum()
+        exact = np.array([p.sum(tuple(j for j in range(n) if j != i)) for i in range(n)])
+        got = m.marginals(bits, chain, skip)
+        assert np.allclose(got, exact, atol=near) and np.allclose(got, plain_marginals(m, bits.tolist(), chain.tolist(), skip.tolist()), atol=1e-6)
+        both = m.marginals(np.concatenate([bits, bits[:2]]), np.concatenate([chain, [(4, 5)]]), skip, np.array([0, 0, 0, 0, 1, 1]))
+        assert np.allclose(both[:4], got, atol=1e-12)  # other documents don't matter
+
+
+def test_missed_mentions_are_found_by_their_like():
+    r = random.Random(5)
+    card = lambda: next(d for _ in range(99) if pii.luhn(d := "4" + "".join(r.choice("0123456789") for _ in range(15))))
+    texts = []
+    for i in range(300):
+        c, ip = card(), ".".join(str(r.randrange(256)) for _ in range(4))
+        texts.append(f"{sentence(r, 5)} {c} then {ip} and {r.randrange(10**6)} again {c}, {ip} or +1 (555) 555-{r.randrange(10**4):04d} a{i}@b.org {sentence(r, 3)} a{i}@b.org")
+    rows = [(t, *pii.graph(t, pii.base_spans(t))) for t in texts]
+    shift = np.cumsum([0, *(len(x[1]) for x in rows)])
+    edge = lambda k: np.array([(a + s, b + s) for x, s in zip(rows, shift) for a, b in x[k]], np.int64).reshape(-1, 2)
+    m = pii.fit_crf(np.array([b for x in rows for b in x[2]]), np.array([b for x in rows for b in x[3]]), edge(4), edge(5))
+    assert (np.diag(m.skip)[1:4] > 1).all()  # like tokens share their labels
+    c = card()
+    for text, more in ((f"pay {c} twice {c} {c} end", 2), (f"number 123456 and {c}", 0), ("write to A1@B.org", 0)):
+        base, spans = pii.find_all([text], m)[0]
+        assert base == pii.base_spans(text) and len(spans) - len(base) == more and set(base) <= set(spans)
+    # many spans near one token, and tokens with many like them: nothing is looked up in a fixed reach
+    long = " ".join([c] + ["word"] * 3) + " " + " x ".join([c] * 200) + f" x {c} {c}"
+    assert sum(s[0] == "card" for s in pii.find_all([long], m)[0][1]) == 203
+
+
+def plain_find(text, model):
+    spans = pii.base_spans(text)
+    toks, bits, own, chain, skip = pii.graph(text, spans)
+    if not toks:
+        return spans
+    p = plain_marginals(model, bits, chain, skip)
+    kind = [int(x.argmax()) if x.max() >= pii.SURE and not o else 0 for x, o in zip(p, own)]
+    new, i = [], 0
+    while i < len(toks):
+        j = i
+        while kind[i] == pii.LABELS.index("phone") and j + 1 < len(toks) and (j, j + 1) in chain and kind[j + 1] == kind[i]:
+            j += 1
+        if kind[i]:
+            new.append((pii.LABELS[kind[i]], toks[i][0], toks[j][1]))
+        i = j + 1
+    return sorted(spans + new, key=lambda x: (x[1], pii.KINDS.index(x[0])))
+
+
+def test_pii_spans_of_the_query_against_plain_loops(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    model = pii.train_crf(docs)
+    got = {r["doc_id"]: r["spans"] for r in queries.QUERIES["op7_pii_crf"](spark, DATA).select("doc_id", "spans").collect()}
+    for r in docs.collect():
+        assert got[r["doc_id"]] == pii.joined(plain_find(r["text"] or "", model))
+
+
 def test_pii_query_and_repeats(spark):
     got = {r["doc_id"]: r for r in queries.QUERIES["op7_pii_crf"](spark, DATA).collect()}
     docs = spark.read.parquet(f"{DATA}/documents.parquet").collect()

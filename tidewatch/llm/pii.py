@@ -17,7 +17,9 @@ KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
 #: Documents that are learned from, in expectation, and tokens of them at most.
 TRAIN_DOCS, TRAIN_TOKENS, SEED = 20_000, 50_000, 3
-ROUNDS, SURE, PRIOR = 10, 0.95, 0.5
+#: Rounds of message passing at most, and change of a document's messages from which on it goes on.
+ROUNDS, TOLERANCE = 200, 1e-7
+SURE, PRIOR = 0.95, 0.5
 
 # The patterns of the contract, made linear: a match of a kind can only begin where the run before it ends.
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -86,7 +88,8 @@ def tokens(text: str) -> list[tuple[int, int]]:
     return out
 
 
-FEATURES = 22
+SHAPES = 22
+FEATURES = SHAPES + len(KINDS)  # and the kind of a base span over the token
 
 
 def features(token: str) -> int:
@@ -118,17 +121,19 @@ def unpack(bits: np.ndarray) -> np.ndarray:
 
 
 def graph(text: str, spans: list[tuple[str, int, int]]) -> tuple[list[tuple[int, int]], list[int], list[int], list[tuple[int, int]], list[tuple[int, int]]]:
-    """Tokens, their feature bits, base labels, chain edges (neighbours with
-    white space alone between them) and skip edges (a token and the next one
-    with its key; so an entity's mentions are one chain, whatever their number)."""
+    """Tokens, their feature bits (of shape and of the base span over them), base
+    labels, chain edges (neighbours with white space alone between them) and skip
+    edges (a token and the next one with its key; so an entity's mentions are one
+    chain, whatever their number). Of several spans over a token the first counts."""
     toks = tokens(text)
-    bits = [features(text[a:b]) for a, b in toks]
-    label, at = [], 0
+    label, bits, at, open_ = [], [], 0, []
     for a, b in toks:
-        while at < len(spans) and spans[at][2] <= a and all(s[2] <= a for s in spans[at:at + 4]):
+        while at < len(spans) and spans[at][1] < b:
+            open_.append(spans[at])
             at += 1
-        hit = next((s for s in spans[at:at + 8] if s[1] < b and s[2] > a), None)
-        label.append(LABELS.index(hit[0]) if hit else 0)
+        open_ = [s for s in open_ if s[2] > a]  # spans of one kind don't overlap, so four are open at most
+        label.append(LABELS.index(open_[0][0]) if open_ else 0)
+        bits.append(features(text[a:b]) | (1 << (SHAPES + label[-1] - 1) if label[-1] else 0))
     chain = [(i, i + 1) for i in range(len(toks) - 1) if toks[i + 1][0] - toks[i][1] <= 3 and text[toks[i][1]:toks[i + 1][0]].strip(_EDGE + " \t\r\n") == ""]
     last: dict[str, int] = {}
     skip = []
@@ -149,26 +154,40 @@ class Crf:
     chain: np.ndarray  # labels x labels
     skip: np.ndarray
 
-    def marginals(self, bits: np.ndarray, chain: np.ndarray, skip: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
-        """Loopy belief propagation (sum-product, flooding, damped) over all documents' graphs at once."""
+    def marginals(self, bits: np.ndarray, chain: np.ndarray, skip: np.ndarray, doc: np.ndarray | None = None,
+                  rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> np.ndarray:
+        """Loopy belief propagation (sum-product, flooding, damped) over the graphs of
+        many documents at once. ``doc``: the document of each token, from 0; a document's
+        messages rest when none changes by ``tolerance``, whatever the others do."""
         k = len(LABELS)
         own = unpack(bits) @ self.unary
         own -= own.max(1, keepdims=True)
         edges = np.concatenate([chain.reshape(-1, 2), skip.reshape(-1, 2)]).astype(np.int64)
         belief = own.copy()
         if len(edges):
-            table = np.concatenate([np.repeat(self.chain[None], len(chain), 0), np.repeat(self.skip[None], len(skip), 0)])
+            table = np.concatenate([np.zeros(len(chain), np.int64), np.ones(len(skip), np.int64)])
+            pots = np.stack([self.chain, self.skip, self.chain.T, self.skip.T])
             src, dst = np.concatenate([edges[:, 0], edges[:, 1]]), np.concatenate([edges[:, 1], edges[:, 0]])
-            pot = np.concatenate([table, table.transpose(0, 2, 1)])
+            kind = np.concatenate([table, table + 2])
             back = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
+            doc = np.zeros(len(own), np.int64) if doc is None else doc
+            of = doc[src]
             msg = np.zeros((len(src), k))
+            live = np.arange(len(src))
             for _ in range(rounds):
-                out = (belief[src] - msg[back])[:, :, None] + pot
+                out = (belief[src[live]] - msg[back[live]])[:, :, None] + pots[kind[live]]
                 top = out.max(1, keepdims=True)
                 new = np.log(np.exp(out - top).sum(1)) + top[:, 0]
-                new -= new.max(1, keepdims=True)
-                msg = 0.5 * msg + 0.5 * new
-                belief = own + np.stack([np.bincount(dst, msg[:, j], len(own)) for j in range(k)], 1)
+                new = 0.5 * msg[live] + 0.5 * (new - new.max(1, keepdims=True))
+                moved = np.zeros(doc.max() + 1, bool)
+                moved[of[live[np.abs(new - msg[live]).max(1) >= tolerance]]] = True
+                msg[live] = new
+                into = np.unique(dst[live])
+                at = np.searchsorted(into, dst[live])
+                belief[into] = own[into] + np.stack([np.bincount(at, new[:, j], len(into)) for j in range(k)], 1)
+                live = live[moved[of[live]]]
+                if not len(live):
+                    break
         belief -= belief.max(1, keepdims=True)
         p = np.exp(belief)
         return p / p.sum(1, keepdims=True)
@@ -184,14 +203,30 @@ def _pairs(a: np.ndarray, b: np.ndarray, share: np.ndarray) -> np.ndarray:
 
 
 def fit_crf(bits: np.ndarray, label: np.ndarray, chain: np.ndarray, skip: np.ndarray, steps: int = 400, ridge: float = 1.0) -> Crf:
-    """Piecewise training: unary potentials by softmax regression, edge potentials
-    from label pairs on edges. chain, skip: rows of two labels."""
+    """Piecewise training from tokens with base labels and their edges (pairs of places).
+
+    A mention that the patterns find in one place they may miss in another, so
+    an entity's mentions teach twice: as found, and as missed, with the bit of
+    the base span taken off and the label kept. Tokens without a base span
+    that are like one with it are neither, and teach nothing; other tokens
+    teach that they are none. Unary potentials come of softmax regression,
+    edge potentials of label pairs on the edges between tokens that teach.
+    """
     k = len(LABELS)
     w = np.zeros((FEATURES, k))
-    share = (np.bincount(label, minlength=k) + 0.5) / (len(label) + 0.5 * k)
-    if len(bits):
-        kinds, inverse = np.unique(bits, return_inverse=True)  # few shapes: the whole sample is fitted at their cost
-        y = np.bincount(inverse * k + label, minlength=len(kinds) * k).reshape(-1, k).astype(float)
+    chain, skip = chain.reshape(-1, 2).astype(np.int64), skip.reshape(-1, 2).astype(np.int64)
+    unknown, repeated = np.zeros(len(bits), bool), np.zeros(len(bits), bool)
+    for _ in range(2):  # a chain of equal tokens: what is next to an unknown one is too
+        for a, b in ((skip[:, 0], skip[:, 1]), (skip[:, 1], skip[:, 0])):
+            unknown[a[(label[a] == 0) & ((label[b] > 0) | unknown[b])]] = True
+            repeated[a[label[a] > 0]] = True
+    teach = ~unknown
+    missed = bits[repeated] & ((1 << SHAPES) - 1)
+    x_bits, y_of = np.concatenate([bits[teach], missed]), np.concatenate([label[teach], label[repeated]])
+    share = (np.bincount(y_of, minlength=k) + 0.5) / (len(y_of) + 0.5 * k)
+    if len(x_bits):
+        kinds, inverse = np.unique(x_bits, return_inverse=True)  # few shapes: the whole sample is fitted at their cost
+        y = np.bincount(inverse * k + y_of, minlength=len(kinds) * k).reshape(-1, k).astype(float)
         n, x = y.sum(1, keepdims=True), unpack(kinds)
         speed = np.zeros_like(w)
         for _ in range(steps):
@@ -201,8 +236,9 @@ def fit_crf(bits: np.ndarray, label: np.ndarray, chain: np.ndarray, skip: np.nda
             grad = (x.T @ (y - n * p) - ridge * w) / max(1.0, n.sum())
             speed = 0.9 * speed + grad
             w += 1.0 * speed
-    pair = lambda e: _pairs(e[:, 0], e[:, 1], share) if len(e) else np.zeros((k, k))
-    return Crf(w, pair(chain.reshape(-1, 2).astype(np.int64)), pair(skip.reshape(-1, 2).astype(np.int64)))
+    known = lambda e: e[teach[e[:, 0]] & teach[e[:, 1]]]
+    pair = lambda e: _pairs(label[e[:, 0]], label[e[:, 1]], share) if len(e) else np.zeros((k, k))
+    return Crf(w, pair(known(chain)), pair(known(skip)))
 
 
 def train_crf(docs: DataFrame, text_col: str = "text", key_col: str = "doc_id", train_docs: int = TRAIN_DOCS,
@@ -210,26 +246,32 @@ def train_crf(docs: DataFrame, text_col: str = "text", key_col: str = "doc_id",
     """Learn from the base spans of a bounded sample: the documents with the
     lowest seeded hashes, ``train_docs`` in expectation, of whose tokens the
     first ``max_tokens`` in seeded order come to the driver, each with its
-    features, label and the labels of the tokens it has edges to."""
+    features, label and the places in its text of the tokens it has edges to."""
     ship(docs.sparkSession)
     d = pick(docs, key=key_col, text=text_col)
     n = d.count()
     draw = F.xxhash64(F.lit(seed), F.col("key").cast("string"))
-    d = d.select("text", draw.alias("h")).filter("text rlike '[@0-9]'")
+    d = d.select("text", draw.alias("h"), F.xxhash64("text").alias("g")).filter("text rlike '[@0-9]'")
     d = d.filter(F.pmod("h", F.lit(1 << 30)) < int((1 << 30) * min(1.0, train_docs / max(n, 1))))
 
     def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
             rows = []
-            for h, text in zip(p["h"], p["text"]):
+            for h, g, text in zip(p["h"], p["g"], p["text"]):
                 _, bits, own, chain, skip = graph(text, base_spans(text))
                 to, like = dict(chain), dict(skip)
-                rows += [(h, i, bits[i], own[i], own[to[i]] if i in to else -1, own[like[i]] if i in like else -1) for i in range(len(bits))]
-            yield pd.DataFrame(rows, columns=["h", "i", "bits", "label", "chain", "skip"]).astype("int64")
+                rows += [(h, g, i, bits[i], own[i], to.get(i, -1), like.get(i, -1)) for i in range(len(bits))]
+            yield pd.DataFrame(rows, columns=["h", "g", "i", "bits", "label", "chain", "skip"]).astype("int64")
+
+    t = d.mapInPandas(label, "h long, g long, i long, bits long, label long, chain long, skip long").orderBy("h", "g", "i").limit(max_tokens).toPandas()
+    t = t.drop_duplicates(["h", "g", "i"]).reset_index(drop=True)  # rows that repeat teach once
+    place = {x: r for r, x in enumerate(zip(t["h"], t["g"], t["i"]))}
+
+    def edges(c: str) -> np.ndarray:
+        found = [(r, place.get((h, g, j))) for r, (h, g, j) in enumerate(zip(t["h"], t["g"], t[c])) if j >= 0]
+        return np.array([e for e in found if e[1] is not None], np.int64).reshape(-1, 2)
 
-    t = d.mapInPandas(label, "h long, i long, bits long, label long, chain long, skip long").orderBy("h", "i").limit(max_tokens).toPandas()
-    own, chain, skip = t["label"].to_numpy(), t["chain"].to_numpy(), t["skip"].to_numpy()
-    return fit_crf(t["bits"].to_numpy(), own, np.stack([own, chain], 1)[chain >= 0], np.stack([own, skip], 1)[skip >= 0])
+    return fit_crf(t["bits"].to_numpy(), t["label"].to_numpy(), edges("chain"), edges("skip"))
 
 
 def find_all(texts: list[str], model: Crf) -> list[tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]]:
@@ -247,7 +289,8 @@ def find_all(texts: list[str], model: Crf) -> list[tuple[list[tuple[str, int, in
     if not held:
         return out
     edge = lambda k: np.array([(a + s, b + s) for _, s, g in held for a, b in g[k]], np.int64).reshape(-1, 2)
-    p = model.marginals(np.array([b for g in graphs for b in g[1]], np.int64), edge(3), edge(4))
+    doc = np.repeat(np.arange(len(graphs)), [len(g[0]) for g in graphs])
+    p = model.marginals(np.array([b for g in graphs for b in g[1]], np.int64), edge(3), edge(4), doc)
     for at, s, (toks, _, own, chain, _) in held:
         best = p[s:s + len(toks)]
         kind = np.where(best.max(1) >= SURE, best.argmax(1), 0)
@@ -274,15 +317,18 @@ def find_pii(docs: DataFrame, model: Crf, id_col: str = "doc_id", text_col: str
     """One row per document: id, base and spans, both arrays of (kind, start, end).
 
     ``base`` holds the matches of the fixed patterns. The field labels every
-    token with a digit or @ given its shape, its neighbours and the other
-    tokens like it anywhere in the document; tokens outside of base spans
+    token with a digit or @ given its shape, the base span over it, its
+    neighbours and the other tokens like it (equal, or equal but for case, or
+    of equal digits) anywhere in the document; tokens outside of base spans
     that it is sure of (``SURE``) are added in ``spans``, neighbouring parts
     of a phone number as one. Offsets count code points, ends exclusive.
 
     The whole text is read, in time linear in its length; null and empty
     texts have no spans. No shuffle; documents pass in Arrow batches, and
-    the graphs of about a million characters are solved at once. Repeated
-    rows are answered each; extra columns are ignored.
+    the graphs of about a million characters are solved at once, each until
+    its own messages rest. Repeated rows are answered each, ties between
+    labels go to the first, an empty table gives an empty result, and extra
+    columns are ignored.
     """
     spark = docs.sparkSession
     ship(spark)
