@@ -10,11 +10,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import url_labels
 from .common import pick, read, ship
 
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
-#: Words that mark a host as unwanted, for labelling the training URLs.
-SPAM_WORDS = ("casino", "pills", "spam", "viagra", "porn", "xxx", "betting", "lottery")
 MAX_TRAIN, MAX_RULES, SEED = 20_000, 1_000, 11
 SMOOTHING = 5.0
 
@@ -83,11 +82,11 @@ class UrlModel:
     leaf: np.ndarray | None = None  # trees x leaves
     depth: int = 3
 
-    def features(self, urls: list[str], leave_out: np.ndarray | None = None) -> np.ndarray:
+    def features(self, urls: list[str], leave_out: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
         """Length, host length, depth, digit ratio, entropy of URL and host,
         parameter count and length, hyphens, labels, then for the last one,
         two and three labels of the host the smoothed share of unwanted URLs
-        and the log count. ``leave_out``: own labels, taken out of the shares."""
+        and the log count. ``leave_out``: unwanted and all URLs to take out of each URL's counts."""
         parts = [_split(u) for u in urls]
         raw = [u.encode("utf-8", "replace") for u in urls]
         hosts = [h.encode("utf-8", "replace") for h, _, _ in parts]
@@ -102,7 +101,7 @@ class UrlModel:
         for k in range(3):
             bad, n = np.array([self.suffix.get(_suffixes(h)[k], (0.0, 0.0)) for h, _, _ in parts] or np.zeros((0, 2))).reshape(-1, 2).T
             if leave_out is not None:
-                bad, n = bad - leave_out, n - 1
+                bad, n = bad - leave_out[0], n - leave_out[1]
             cols += [(bad + SMOOTHING * self.prior) / (n + SMOOTHING), np.log1p(n)]
         return np.array(cols, float).T.reshape(len(urls), -1)
 
@@ -122,7 +121,9 @@ def fit_trees(urls: list[str], labels: np.ndarray, trees: int = 30, depth: int =
               bins: int = 32, ridge: float = 1.0) -> UrlModel:
     """Newton boosting of the log loss over histograms of quantile bins.
 
-    A URL's own label is left out of the suffix shares it is trained on.
+    A URL's own label is left out of the suffix shares it is trained on, and
+    every second URL is trained without all labels of its host, so the trees
+    learn to judge hosts that no label is known of as well as known ones.
     Without URLs, or with one label only, the score is the smoothed share.
     """
     y, m = labels.astype(float), UrlModel(depth=depth)
@@ -134,7 +135,15 @@ def fit_trees(urls: list[str], labels: np.ndarray, trees: int = 30, depth: int =
     m.base = float(np.log(m.prior / (1 - m.prior)))
     if len(set(y)) < 2:
         return m
-    x = m.features(urls, y)
+    hosts = [_split(u)[0] for u in urls]
+    of_host: dict[str, list[float]] = {}
+    for h, v in zip(hosts, y):
+        held = of_host.setdefault(h, [0.0, 0.0])
+        held[0], held[1] = held[0] + v, held[1] + 1
+    whole = np.array([of_host[h] for h in hosts])
+    odd = (np.arange(len(y)) % 2 == 1)[:, None]
+    out = np.where(odd, whole, np.stack([y, np.ones(len(y))], axis=1))
+    x = m.features(urls, (out[:, 0], out[:, 1]))
     edges = [np.unique(np.quantile(c, np.linspace(0, 1, bins + 1)[1:-1])) for c in x.T]
     binned = np.stack([np.searchsorted(e, c, side="left") for e, c in zip(edges, x.T)], axis=1)
     now, inner = np.full(len(y), m.base), 2**depth - 1
@@ -192,7 +201,8 @@ def filter_urls(pages: DataFrame, model: UrlModel, rules: Sequence[tuple[str, st
     Null URLs and URLs without ``://`` have empty host and path, fit no rule
     and are scored as they are (null as empty). No shuffle; the model, whose
     suffix table is bounded by the training sample, is the only broadcast.
-    Repeated rows are judged alike; extra columns are ignored.
+    Repeated rows are judged alike, an empty table gives an empty result, and
+    extra columns are ignored.
     """
     spark = pages.sparkSession
     ship(spark)
@@ -211,13 +221,8 @@ def filter_urls(pages: DataFrame, model: UrlModel, rules: Sequence[tuple[str, st
                     F.coalesce("by.verdict", own).alias("verdict"), "score")
 
 
-def label_by_words(pages: DataFrame, url_col: str = "url", key_col: str = "page_id", words: Sequence[str] = SPAM_WORDS) -> DataFrame:
-    """Weakly labelled URLs: 1 if a word of the host, between dots and hyphens, is in ``words``."""
-    d = pick(pages, url=url_col, key=key_col).dropna()
-    tokens = F.split(host_of(F.col("url")), r"[.-]")
-    return d.select(F.col("key").alias(key_col), F.col("url").alias(url_col), F.arrays_overlap(tokens, F.array(*map(F.lit, words))).cast("int").alias("label"))
-
-
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables have no labels of URLs: the trees learn from those of ``url_labels``, a
+    stand-in for a list of labelled hosts, in which a quarter of the hosts have none."""
     pages = read(spark, sf_dir, "pages")
-    return filter_urls(pages, train_url_model(label_by_words(pages)))
+    return filter_urls(pages, train_url_model(url_labels.labelled(pages)))
