@@ -1,4 +1,6 @@
+import collections
 import hashlib
+import math
 import random
 import re
 import time
@@ -6,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidewatch.llm import decontamination as dc
 from tidewatch.llm import language_id as li
@@ -43,6 +46,56 @@ def test_language_odd_texts(spark):
     assert kept.count() == sum(any(c.isalpha() for c in r["text"] or "") for r in got) and "TEXT" in kept.columns
 
 
+def plain_grams(text, bits=16):
+    """Buckets of the 1-, 2- and 3-grams of a text, letter by letter."""
+    fold = [ord(c.lower()[0]) if c.isalpha() else 32 for c in f" {text}  "] + [32, 32]
+    m, top = 2**32 - 1, 32 - bits
+    for i in range(len(fold) - 2):
+        a, b, c = fold[i:i + 3]
+        h1 = a * 0x9E3779B1 & m
+        h2 = (h1 ^ (b * 0x85EBCA77 & m)) * 0x27D4EB2F & m
+        h3 = (h2 ^ (c * 0xC2B2AE3D & m)) * 0x9E3779B1 & m
+        if a != 32:
+            yield (h1 * 0x27D4EB2F & m) >> top
+        if a != 32 or b != 32:
+            yield h2 >> top
+        if b != 32:
+            yield h3 >> top
+
+
+def test_language_query_against_plain_loops(spark):
+    """Every prediction and score by loops over characters; all documents are within the bound of the sample here."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").collect()
+    n, seen = collections.defaultdict(collections.Counter), collections.Counter()
+    for r in docs:
+        if crc(r["doc_id"]) % 5 and r["text"] is not None and r["lang"] is not None:
+            seen[r["lang"]] += 1
+            n[r["lang"]].update(plain_grams(r["text"]))
+    total = {x: sum(n[x].values()) + li.ALPHA * 2**16 for x in seen}
+    got = {r["doc_id"]: r for r in queries.QUERIES["op8_language_id"](spark, SMALL).collect()}
+    assert len(got) == len(docs)
+    for r in docs:
+        g, text = got[r["doc_id"]], r["text"] or ""
+        assert g["held_out"] == (crc(r["doc_id"]) % 5 == 0)
+        if not any(c.isalpha() for c in text):
+            assert (g["lang_pred"], g["score"]) == ("und", 0.0)
+            continue
+        ks = collections.Counter(plain_grams(text))
+        like = {x: math.log(seen[x] / sum(seen.values())) + sum(c * math.log((n[x][k] + li.ALPHA) / total[x]) for k, c in ks.items()) for x in seen}
+        best = max(sorted(like), key=like.get)
+        assert g["lang_pred"] == best and abs(g["score"] - 1 / sum(math.exp(v - like[best]) for v in like.values())) < 1e-6
+
+
+def test_language_columns_that_clash(spark):
+    d = clash(odd_documents(spark)).withColumn("lang_id", F.lit("mine"))
+    model = li.train_language_model(d)
+    got = li.predict_language(d, model)
+    assert got.columns == [*d.columns, "lang_id"] and {r[-2] for r in got.collect()} == {"mine"}
+    assert li.predict_language(d.limit(0), model).count() == 0 and li.keep_identified(d, model).columns == d.columns
+    same = li.predict_language(d.unionAll(d), model).collect()
+    assert len({(r[1], r[-1]) for r in same}) == len({(r[1], r[-1]) for r in got.collect()})
+
+
 def test_grams_do_not_span_texts_and_pieces_agree():
     a, b = "abc déf", "Ghi, x"
     alone = [sorted(x) for x in li.grams([a])[0]], [sorted(x) for x in li.grams([b])[0]]
@@ -70,6 +123,64 @@ def test_quality_held_out_accuracy(spark):
     assert np.mean([got[r["doc_id"]]["predicted"] == r["quality"] for r in labels]) > 0.97
 
 
+def plain_statistics(text):
+    """The 16 statistics of a text, character by character and word by word."""
+    def kind(ch):
+        return ("punctuation" if ch in ".,;:!?'\"()-’“”¿¡" else "symbol" if ch in "#$%&*+/<=>@[\\]^_`{|}~" else ("upper" if ch.isupper() else "lower")
+                if ch.isalpha() else "digit" if ch.isdigit() else "space" if ch.isspace() else "other")
+    k = collections.Counter(map(kind, text))
+    n, words, lines = len(text), text.split(), [x for x in text.split("\n") if x.strip()]
+    w, solid, raw = len(words), n - k["space"], text.encode()
+    odds = lambda x, m: math.log((x + 0.5) / (max(m - x, 0) + 0.5))
+    return [math.log1p(n), math.log1p(w), math.log1p(solid / max(w, 1)), odds(k["upper"], k["upper"] + k["lower"]), odds(k["digit"], solid),
+            odds(k["punctuation"], solid), odds(k["symbol"], solid), odds(k["space"], n), odds(k["other"], solid),
+            odds(sum(len(x) > 1 and x.isupper() for x in words), w), odds(sum(not x[-1].isalnum() and x[-1] not in ".,;:!?'\")" for x in words), w),
+            odds(len(set(words)), w), odds(len(lines) - len(set(lines)), len(lines)), math.log1p(w / max(len(lines), 1)),
+            odds(sum(len(x) <= 3 for x in words), w), math.log((len(zlib.compress(raw, 1)) + 20) / (len(raw) + 20))]
+
+
+def test_quality_query_against_plain_densities(spark):
+    """Every score from plain statistics and the densities written out with inverse and determinant."""
+    docs = {r["doc_id"]: np.array(plain_statistics(r["text"] or "")) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    rows = [(r["quality"], docs[r["doc_id"]]) for r in spark.read.parquet(f"{DATA}/labels.parquet").collect()
+            if crc(r["doc_id"]) % 4 != 2 and r["quality"] in (0, 1) and r["doc_id"] in docs]
+    x = [np.array([v for y, v in rows if y == c]) for c in (0, 1)]
+    d, n = len(ql.NAMES), np.array([len(v) for v in x])
+    cov = [np.cov(v.T, bias=True) for v in x]
+    pooled = (n[0] * cov[0] + n[1] * cov[1]) / n.sum()
+    pooled = (1 - ql.DIAGONAL) * pooled + ql.DIAGONAL * (np.diag(np.diag(pooled)) + ql.FLOOR * np.eye(d))
+    shrunk = []
+    for c in (0, 1):
+        lam = max(ql.POOL, d / (d + n[c]))
+        shrunk.append((1 - lam) * cov[c] + lam * pooled + ql.FLOOR * np.eye(d))
+    got = {r["doc_id"]: r for r in queries.QUERIES["op6_quality_qda"](spark, DATA).collect()}
+    assert len(got) == len(docs)
+    for i, v in docs.items():
+        dens = [math.log(n[c] / n.sum()) - 0.5 * ((v - x[c].mean(0)) @ np.linalg.inv(shrunk[c]) @ (v - x[c].mean(0)) + np.linalg.slogdet(shrunk[c])[1]) for c in (0, 1)]
+        want = 1 / (1 + math.exp(min(700, dens[0] - dens[1])))
+        assert abs(got[i]["score"] - want) < 1e-6 and got[i]["predicted"] == int(got[i]["score"] >= 0.7) and got[i]["held_out"] == (crc(i) % 4 == 2)
+
+
+def test_very_long_texts(spark):
+    """A text of more than a million characters goes through every operator whole: what matters stands at its end."""
+    r = random.Random(12)
+    item = sentence(r, 40)
+    body = sentence(r, 250_000, [sentence(r, 1) for _ in range(20_000)])
+    assert len(body) > 1_000_000
+    d = spark.createDataFrame([(1, f"{body} {item} write to end@of.text", "en", "a", 0), (2, "жук лес " * 30, "de", "a", 0), (3, body, "en", "a", 0)], DOCS)
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert [tuple(x)[:2] for x in dc.contaminated_pairs(d, bench).collect()] == [(1, 1)]
+    assert sorted(x["doc_id"] for x in dc.keep_clean(d, bench).collect()) == [2, 3]
+    text = {x["doc_id"]: x["text"] for x in d.collect()}
+    spans = {x["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in x["base"]] for x in pii.find_pii(d, pii.train_crf(d)).collect()}
+    assert spans == {1: [("email", text[1].index("end@"), len(text[1]))], 2: [], 3: []}
+    stats = ql.document_statistics(d.select("doc_id", "text")).collect()
+    assert all(np.allclose(x["stats"], plain_statistics(x["text"])) for x in stats)
+    model = li.train_language_model(d)
+    got = {x["doc_id"]: x["lang_id"]["lang_pred"] for x in li.predict_language(d.select("doc_id", "text"), model).collect()}
+    assert got == {1: "en", 2: "de", 3: "en"}
+
+
 def test_quality_odd_texts(spark):
     d = clash(odd_documents(spark))
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")

@@ -143,13 +143,16 @@ def train_language_model(labelled: DataFrame, text_col: str = "text", lang_col:
 
 
 def predict_language(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
-    """``docs`` with a struct column lang_id(lang_pred, score), of the whole text.
+    """``docs`` with a struct column lang_id(lang_pred, score), of the whole text, as the last one.
 
     Null texts and texts without a letter get ``und`` and 0, as does every
-    text if the model knows no language. No shuffle: one pass of Arrow
-    batches, worked on in slices of about a million characters, with the
+    text if the model knows no language; of languages that are equally likely
+    the first in order is taken. No shuffle: one pass of Arrow batches,
+    worked on in slices of about a million characters, with the
     log-probability matrix broadcast (its size is fixed by buckets and
-    ``MAX_LANGS``).
+    ``MAX_LANGS``). Rows that repeat are judged alike, and an empty table
+    gives an empty result. The text is found by position: columns whose names
+    clash, even one called lang_id, stay as they are.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -160,7 +163,8 @@ def predict_language(docs: DataFrame, model: LanguageModel, text_col: str = "tex
         lang, score = shared.value.predict(list(text))
         return pd.DataFrame({"lang_pred": lang, "score": score})
 
-    return docs.withColumn("lang_id", judge(F.col(text_col)))
+    flat, at, back = positional(docs)
+    return flat.withColumn("_judged", judge(F.col(at[text_col]))).select(*back, F.col("_judged").alias("lang_id"))
 
 
 def held_out(key: Column) -> Column:
@@ -180,7 +184,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_id.lang_pred", "lang_id.score")
 
 
-def keep_identified(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """The documents that have a language; ``und`` ones go. Columns stay as they are."""
+def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
+    """The documents that have a language; ``und`` ones go. Columns stay as they are, repeated rows too."""
     flat, at, back = positional(docs)
-    return predict_language(flat, model, at["text"]).filter(F.col("lang_id.lang_pred") != "und").select(*back)
+    return predict_language(flat, model, at[text_col]).filter(F.col("lang_id.lang_pred") != "und").select(*back)
