@@ -4,6 +4,14 @@ Each stage takes (spark, docs, sf_dir), works on all its predecessor kept
 and, but for the last, returns the columns of ``docs``. In ``run`` the stages
 are chained through checkpoints in the shared folder, since each reads its
 input more than once.
+
+Extra columns, also those whose names clash, pass through all stages. Null,
+blank and letterless texts go in the first stage; should a later one be given
+such texts, near-dedup and decontamination keep them, the mix takes no words
+of them and sharding places them. Rows that repeat are one group in
+near-dedup, of which one row stays; in the other stages each counts on its
+own. Ties are broken by id, and of rows that agree in id and text any one may
+stand for the other. An empty table gives an empty result in every stage.
 """
 
 from __future__ import annotations
@@ -20,7 +28,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near-duplicates the document with the least id stays."""
+    """Of each class of near-duplicates the row with the least id stays; rows go by id and text, so an id's other texts stay."""
     return near_dedup.keep_one(docs)
 
 
@@ -47,7 +55,7 @@ STAGES = [
     ("sharding", shard),
 ]
 
-#: The stages are not expressible in SQL; tests hold them against brute force.
+#: The stages are not expressible in SQL; tests/llm/test_pipeline.py holds each against plain loops.
 ORACLE_SQL = None
 
 
