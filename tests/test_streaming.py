@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from tidewatch.config import Config, ConfigError
 from tidewatch.plans.state import StateStore
 from tidewatch.schema import METRICS
-from tidewatch.sources.metrics import progress
+from tidewatch.sources.metrics import jdbc_progress, normalize, progress, read_jdbc
 from tidewatch.sources.sinks import Delivery, FileSink, KafkaSink, LogSink, NoopSink, kafka_options, probe, sinks_of
-from tidewatch.streaming import WindowRunner, run_with_restarts, start_off_hours_stream, start_window_stream
+from tidewatch.streaming import ProgressLog, WindowRunner, run_with_restarts, start_off_hours_stream, start_window_stream
 
 START = datetime(2026, 8, 17, 21)
 
@@ -118,6 +118,33 @@ def test_progress_reaches_the_scan(spark, tmp_path):
     assert progress(text, date(2026, 8, 17), 1).first()["latest"] == START + timedelta(minutes=15)
 
 
+def test_a_window_and_the_progress_over_jdbc(spark):
+    """An in-memory database takes the predicates, the slices and the timeouts, and its times become metrics."""
+    url, driver = "jdbc:derby:memory:tidewatch;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    d = spark.createDataFrame(rows(2), METRICS)
+    d = d.toDF(*[c.upper() for c in d.columns]).withColumns({"DAYTIME": F.to_date("COLLECT_TIME"), "DAYHOURTIME": F.date_trunc("hour", "COLLECT_TIME").cast("timestamp_ntz")})
+    d.write.mode("append").jdbc(url, "METRIC", properties=driver)
+    names = {"day_col": "DAYTIME", "ts_col": "COLLECT_TIME"}
+    cols = {c.split()[0]: c.split()[0].upper() for c in METRICS.split(", ")}
+    part = read_jdbc(spark, url, "METRIC", START, START + timedelta(minutes=5), hour_col="DAYHOURTIME", columns=cols, partitions=5, fetch_size=2, **names, **driver)
+    assert part.rdd.getNumPartitions() == 5
+    assert sorted(r["src_ip"] for r in normalize(part).collect()) == ["s0", "s1", "s2"]
+    ask = lambda day: jdbc_progress(spark, url, "METRIC", day, 3, **names, **driver).first()["latest"]
+    assert ask(date(2026, 8, 18)) == START + timedelta(minutes=10) and ask(date(2026, 8, 16)) is None
+    with pytest.raises(ValueError):
+        jdbc_progress(spark, url, "METRIC; DROP", date(2026, 8, 18), 3)
+
+
+def test_progress_log(spark, tmp_path, caplog):
+    import logging
+
+    log = ProgressLog(every=10)
+    with caplog.at_level(logging.INFO, logger="tidewatch.stream"):
+        for n in (4, 5, 2, 30):
+            log.add(n, "here")
+    assert [r.getMessage() for r in caplog.records] == ["11 rows read: here", "41 rows read: here"]
+
+
 def test_old_versions_are_dropped(spark, tmp_path):
     r = runner(spark, tmp_path, rows(6))
     assert r.run(until_waiting=True).processed_windows == 6

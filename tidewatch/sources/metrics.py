@@ -135,7 +135,7 @@ def jdbc_progress(spark: SparkSession, url: str, table: str, today: date, lookba
         table_name(c)
     first = today - timedelta(days=max(1, lookback_days) - 1)
     sql = f"SELECT MAX({ts_col}) AS latest FROM {table_name(table)} WHERE {day_col} >= '{first}' AND {day_col} <= '{today}'"
-    return spark.read.format("jdbc").options(url=url, query=sql, queryTimeout=str(timeout_seconds), **options).load()
+    return spark.read.format("jdbc").options(url=url, query=sql, queryTimeout=str(timeout_seconds), **options).load().toDF("latest")
 
 
 def watermark(latest: Column, cfg: Config) -> Column:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..config import Config
 from ..functions import off_hours, saturating_sum
@@ -14,6 +15,34 @@ from ..operators import alerts as al
 from ..schema import PAIR
 from ..sources.metrics import normalize
 
+LOG = logging.getLogger("tidewatch.stream")
+
+
+class ProgressLog(StreamingQueryListener):
+    """Logs how far queries are, each time that ``every`` more rows have been read.
+    For ``spark.streams.addListener``."""
+
+    def __init__(self, every: int = 1_000_000) -> None:
+        self.every, self.rows, self.said = every, 0, 0
+
+    def onQueryStarted(self, event) -> None:
+        LOG.info("query %s started", event.id)
+
+    def onQueryProgress(self, event) -> None:
+        self.add(event.progress.numInputRows, f"query {event.progress.id}, batch {event.progress.batchId}")
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        LOG.info("query %s ended after %d rows%s", event.id, self.rows, f": {event.exception}" if event.exception else "")
+
+    def add(self, rows: int, where: str) -> None:
+        self.rows += rows
+        if self.rows // self.every > self.said:
+            self.said = self.rows // self.every
+            LOG.info("%d rows read: %s", self.rows, where)
+
 
 def start_off_hours_stream(stream: DataFrame, cfg: Config, write: Callable[[DataFrame, int], None], checkpoint: str, **trigger) -> StreamingQuery:
     """Type 3 over a stream of metrics: pair totals of a window are kept as
