@@ -201,3 +201,17 @@ def test_ties_and_repeated_rows(spark):
     got = offhours.top_pairs(d, Config(topn=1)).collect()
     assert [(r["src_ip"], r["conns"]) for r in got] == [("a", 6)]
     assert pairs.evict(spark.createDataFrame([], "src_ip string, dst_ip string, protocol string, update_time timestamp_ntz, last_seen timestamp_ntz, update_order long"), 5).count() == 0
+
+
+def test_alerts_are_numbered_once(spark):
+    from datetime import date
+
+    from tidewatch.operators import alerts as al
+
+    top = spark.sql("select timestamp_ntz '2026-08-17 21:00:00' as win, timestamp_ntz '2026-08-17 21:01:00' as collect_time, 'a' as src_ip, 'b' as dst_ip, "
+                    "'TCP' as protocol, 1 as top_rank, 5L as conns")
+    cfg = Config(device_id="123456")
+    once = al.number(al.off_hours_alerts(top, cfg), cfg, date(2026, 8, 18), 7)
+    assert once.first()["log_id"] == "20260818123456" + "7".zfill(18)
+    with pytest.raises(ValueError):
+        al.number(once, cfg, date(2026, 8, 18))
