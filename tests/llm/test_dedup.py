@@ -7,6 +7,7 @@ import pytest
 
 from tidewatch.llm import near_dedup as nd
 from tidewatch.llm import queries
+from tidewatch.llm.common import join_by_key
 from tidewatch.llm.exact_dedup import exact_dedup
 
 from .util import DOCS, clash, odd_documents, sentence
@@ -33,6 +34,16 @@ def test_exact_against_brute_force(spark, hash_all):
             assert r["content_hash"] == hashlib.sha256((by[r["doc_id"]] or "").encode()).hexdigest()
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_join_by_key_with_hot_keys(spark, how):
+    rows = spark.range(9_000).selectExpr("id", "case when id < 4000 then 1 when id < 5500 then 2 else id end as k")
+    facts = rows.groupBy("k").count().filter("k != 6000").selectExpr("k", "count as n", "k * 10 as v")
+    got = {r["id"]: r["v"] for r in join_by_key(rows, facts, "k", "n", how).collect()}
+    want = {i: 10 * (1 if i < 4_000 else 2 if i < 5_500 else i) for i in range(9_000)} | {6_000: None}
+    assert got == ({k: v for k, v in want.items() if v is not None} if how == "inner" else want)
+    assert join_by_key(rows, facts.limit(0), "k", "n", how).count() == (0 if how == "inner" else 9_000)
+
+
 def test_exact_empty_table(spark):
     assert exact_dedup(spark.createDataFrame([], DOCS)).count() == 0
 

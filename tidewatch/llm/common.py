@@ -46,11 +46,11 @@ def join_by_key(rows: DataFrame, facts: DataFrame, key: str, count: str, how: st
     rows meet theirs in a shuffle, in which no key is hot. Where ``how`` is
     left, rows with a null key are spread by nothing: give them keys of their own.
     """
-    total = facts.agg(F.sum(count)).first()[0] or 0
-    is_hot = F.col(count) > max(1_000, int(total * HOT_SHARE))
-    hot, cold = facts.filter(is_hot), facts.filter(~is_hot)
-    if not hot.limit(1).count():
-        return rows.join(cold, key, how)
+    total, most = facts.agg(F.sum(count), F.max(count)).first()
+    bound = max(1_000, int((total or 0) * HOT_SHARE))
+    if (most or 0) <= bound:
+        return rows.join(facts, key, how)
+    hot, cold = facts.filter(F.col(count) > bound), facts.filter(F.col(count) <= bound)
     first = rows.join(F.broadcast(hot), key)
     rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key, how)
     return first.unionByName(rest)
