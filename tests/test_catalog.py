@@ -55,3 +55,19 @@ def test_rounded_histograms_are_close(spark):
     exact = context.window_stats(rows, catalog.CFG).select("win", "context_protocol", "high_bytes").collect()
     near = {(r[0], r[1]): r[2] for r in context.window_stats(rows, replace(catalog.CFG, histogram_digits=3)).select("win", "context_protocol", "high_bytes").collect()}
     assert all(abs(near[r[0], r[1]] - r[2]) <= 0.01 * r[2] for r in exact)
+
+
+def test_all_alerts_of_more_pairs_than_a_state_holds(spark, monkeypatch):
+    """As in the SQL, every pair is kept: no run window by window, no eviction."""
+    from dataclasses import replace
+
+    from tidewatch.plans import incremental
+
+    data = "/root/testdata/sf0.01"
+    monkeypatch.setattr(catalog, "CFG", replace(catalog.CFG, max_pairs=1_000))
+    monkeypatch.setattr(incremental, "run_range", lambda *a, **k: pytest.fail("window by window"))
+    assert catalog._rows(spark, data).select("src_ip", "dst_ip", "protocol").distinct().count() > 1_000
+    c = duckdb.connect()
+    c.sql(f"create view events as from '{data}/events.parquet'")
+    for name in ("alerts_union", "alert_type_counts"):
+        assert plain(catalog.QUERIES[name](spark, data).toPandas()) == plain(c.sql(catalog.ORACLES[name]).df())
