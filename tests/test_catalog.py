@@ -71,3 +71,11 @@ def test_all_alerts_of_more_pairs_than_a_state_holds(spark, monkeypatch):
     c.sql(f"create view events as from '{data}/events.parquet'")
     for name in ("alerts_union", "alert_type_counts"):
         assert plain(catalog.QUERIES[name](spark, data).toPandas()) == plain(c.sql(catalog.ORACLES[name]).df())
+
+
+def test_rounding_rules_of_rows_without_bytes(spark, tmp_path):
+    spark.sql("""select id as event_id, timestamp '2024-01-01 10:00:00' as ts, id as user_id, 'view' as event_type, case when id < 6 then 0.0 else id / 8.0 end as value,
+                 '{"k": 5}' as props from range(12)""").write.parquet(f"{tmp_path}/events.parquet")
+    c = duckdb.connect()
+    c.sql(f"create view events as from '{tmp_path}/events.parquet/*.parquet'")
+    assert plain(catalog.rounding_rules(spark, str(tmp_path)).toPandas()) == plain(c.sql(catalog.ORACLES["rounding_rules"]).df())
