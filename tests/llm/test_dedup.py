@@ -248,3 +248,49 @@ def test_near_with_plain_ids(spark):
 
 def test_near_empty_table(spark):
     assert nd.near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_links_by_words_in_large_open_parts_are_found(spark):
+    """Pairs that agree in a common passage and in all but every fifth of their own words: they share
+    no other shingle, and few are linked to a leader. With this seed every pair shares a bucket."""
+    r, rows = random.Random(5), []
+    passage = sentence(r, 64)
+    for g in range(40):
+        own = sentence(r, 30, [f"w{g}x{k}" for k in range(9_999)]).split()
+        rows += [(10 * g, f"{passage} {' '.join(own)}"), (10 * g + 1, f"{passage} {' '.join('changed' if k % 5 == 2 else w for k, w in enumerate(own))}")]
+    d = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], DOCS)
+    ids = [i for i, _ in rows]
+    want = classes([t for _, t in rows], ids)
+    assert len(set(want)) == 40
+    got = {x["doc_id"]: x["class_id"] for x in nd.near_duplicates(d).collect()}
+    assert [got[i] for i in ids] == want
+
+
+@pytest.mark.parametrize("block", [nd.BLOCK, 7])
+def test_blocks_rule_out_no_link(spark, monkeypatch, block):
+    monkeypatch.setattr(nd, "BLOCK", block)
+    d = spark.createDataFrame([(i, t, lg, s, len(t)) for i, t, lg, s in near_corpus()], DOCS)
+    rows = d.select("doc_id", "text").collect()
+    same = d.selectExpr("1L as key", f"{len(rows)}L as size", "doc_id as node", "doc_id as label", "'w' as by", "false as second")
+    edges = [(x["a"], x["b"]) for x in nd._linked_in_blocks(same, d.selectExpr("doc_id as node", "text"), 0.8).collect()]
+    up = nd.Joined()
+    for a, b in edges:
+        a, b = up.find(a), up.find(b)
+        up[max(a, b)] = min(a, b)
+    assert [up.find(x["doc_id"]) for x in rows] == classes([x["text"] for x in rows], [x["doc_id"] for x in rows])
+
+
+def test_bounds_of_blocks_rule_out_no_link():
+    r, known, texts = random.Random(9), nd.Words(), []
+    for g in range(25):
+        w = sentence(r, r.randint(5, 60)).split()
+        texts += [w, w + w[-9:] * r.randint(1, 9), [x if r.random() < 0.85 else "z" for x in w], w[:3] * r.randint(1, 40)]
+    b = nd.Block([(i, i, " ".join(w), False) for i, w in enumerate(texts)], known)
+    links, alone = 0, 0
+    for i in range(len(texts)):
+        j = np.arange(i + 1, len(texts))
+        by = {k: set(nd._may_be_alike(b, i, b, j, 0.8, k).tolist()) for k in "wn"}
+        want = {k for k in j.tolist() if nd.alike(b.compared(i), b.compared(k))}
+        assert want <= by["w"] | by["n"]
+        links, alone = links + len(want), alone + len(want - by["w"])
+    assert links > 30 and alone > 3

@@ -22,8 +22,8 @@ SHINGLE, SIMILARITY = 5, 0.8
 SKETCHES, RETAINED, SEED = 20, 2, 13
 #: Texts in a bucket up to which all its pairs are compared; rounds of leaders for larger ones.
 SMALL, ROUNDS = 16, 3
-#: Buckets that two texts of the exact step share at least: fewer of 20 with a chance of 1 in 100 000 at a similarity of 0.8.
-LEAST_OPEN = 4
+#: Texts of an open part that a task compares with those of another block; bins for the bounds of what two texts share, the quick one first.
+BLOCK, BINS = 2_000, (64, 512)
 #: Texts that are compared with one copy of a leader's text; rows of a bucket that one task of a join takes.
 FAN, PART_ROWS = 64, 1_000
 
@@ -370,17 +370,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
        compared; where all but ``small`` nodes are of one component, the
        others are compared with all; else each node outside the component of
        a leader drawn anew is compared with it.
-    3. Buckets that are still open hold nodes that share a bucket without
-       being similar to the leaders. Two texts that are not compared yet have
-       all their common buckets among those, so a node in fewer than
-       ``LEAST_OPEN`` of them is done. The others' links by distinct shingles, those
-       of a Jaccard similarity of ``similarity`` or more in order, are found
-       exactly: two such texts share one of the rarest shingles in the first
-       1 - ``similarity`` of either's, so the nodes of open buckets meet on
-       those, again only across components, and only where the places of the
-       shingle in both texts leave room for the similarity. What is linked by
-       its words in order alone, with more of the shingles changed, is found
-       in steps 1 and 2 only.
+    3. Parts that are still open hold nodes that share a bucket without
+       being similar to the leaders. All pairs of such a part are compared,
+       whatever its size: it is cut into blocks of ``BLOCK`` nodes that meet
+       two by two in tasks, where counts of words and shingles in bins rule
+       most pairs out, pairs of one component are passed over and the others
+       are aligned. So of texts that share a bucket no link between
+       components is lost. Work grows with the square of a part, rows with
+       its size times its number of blocks.
 
     Two texts that share x of their labelled shingles agree in a sketch with a
     chance of x ** ``retained``, so they share no bucket with one of
@@ -521,12 +518,13 @@ def _classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     # linked texts are of one size class or of neighbouring ones, by words or by distinct shingles
     part = still_open(members.filter(F.col("size") > small))
     step = math.log(1 / similarity) + 1e-6
-    ranges = [F.xxhash64("key", F.lit(c), (F.floor(F.log(c) / step) + k)) for c in ("w", "n") for k in (0, 1)]
-    sub = part.select(F.col("key").alias("of"), F.explode(F.array(*ranges)).alias("key"), "node", "w", "n", "label")
+    ranges = [F.struct(F.xxhash64("key", F.lit(c), (F.floor(F.log(c) / step) + k)).alias("key"), F.lit(c).alias("by"), F.lit(k == 1).alias("second"))
+              for c in ("w", "n") for k in (0, 1)]
+    sub = part.select(F.explode(F.array(*ranges)).alias("x"), "node", "w", "n", "label").select("x.*", "node", "w", "n", "label")
     several = sub.groupBy("key", "label").agg(F.count(F.lit(1)).alias("k")).groupBy("key").agg(
         F.sum("k").alias("size"), F.max("k").alias("most"), F.max_by("label", F.struct("k", "label")).alias("main"), F.count(F.lit(1)).alias("labels"))
     several = scratch.cut(several.filter("labels > 1").select("key", "size", "main", (F.col("size") - F.col("most")).alias("others")))
-    sub = scratch.cut(join_by_key(sub, several, "key", "size").select("key", "size", "main", "others", "of", "node", "w", "n", "label"))
+    sub = scratch.cut(join_by_key(sub, several, "key", "size").select("key", "size", "main", "others", "by", "second", "node", "w", "n", "label"))
     scratch.drop(part)
 
     def with_leads(m: DataFrame, leads: DataFrame) -> DataFrame:
@@ -544,11 +542,10 @@ def _classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
         more = by_leader(part, F.xxhash64(F.lit(seed + r), "node", "key"))
         links.add(verify(pairs.unionByName(more) if r == 1 else more))
         scratch.drop(part)
-    part = still_open(large, "of")
-    rest = scratch.cut(part.groupBy("node", "label").agg(F.count_distinct("of").alias("open")).filter(F.col("open") >= LEAST_OPEN).select("node", "label"))
-    if rest.limit(1).count():
-        links.add(verify(_rare_pairs(rest, texts.join(rest.select("node"), "node"), similarity, scratch)))
-    scratch.drop(members, shared, several, sub, part, rest)
+    part = still_open(large, "by", "second")
+    if part.limit(1).count():
+        links.add(scratch.cut(_linked_in_blocks(part, texts, similarity)))
+    scratch.drop(members, shared, several, sub, part)
     texts.unpersist()
 
     named = scratch.cut(links.named(nodes.select("digest", "node", "best", "copies")))
@@ -559,35 +556,98 @@ def _classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     return rows.select("id", "row", "mark", "digest"), classes
 
 
-def _rare_pairs(rest: DataFrame, held: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
-    """Pairs of the given nodes, across components, that share one of their
-    rarest shingles (prefix filtering): all whose distinct shingles can reach ``similarity``."""
+class Block:
+    """Texts of an open part, with counts that bound what any two of them share."""
+
+    def __init__(self, rows: list[tuple], known: Words) -> None:
+        self.node, self.label = [r[0] for r in rows], [r[1] for r in rows]
+        self.x = [hashes(words_of(r[2]), known).astype(np.uint32) for r in rows]
+        self.second = np.array([r[3] for r in rows], bool)  # those of the range's lower half, which meet each other in the range below
+        self.w = np.array([len(x) for x in self.x], np.int64)
+        kind = np.uint16 if self.w.max(initial=0) < 2**16 else np.uint32
+        self.n, self.repeats = np.zeros(len(rows), np.int64), np.zeros(len(rows), bool)
+        self.words, self.shingles = ([np.zeros((len(rows), k), kind) for k in BINS] for _ in range(2))
+        for i, x in enumerate(self.x):
+            s = shingled(x.astype(np.uint64))
+            u = np.unique(s)
+            self.n[i], self.repeats[i] = len(u), len(u) < len(s)
+            for k, words, own in zip(BINS, self.words, self.shingles):
+                words[i] = np.bincount(x % np.uint32(k), minlength=k)
+                own[i] = np.bincount((u % np.uint64(k)).astype(np.int64), minlength=k)
+        self.held: dict[int, Compared] = {}
+
+    def compared(self, i: int) -> Compared:
+        if len(self.held) > 1_000:
+            self.held.clear()
+        if i not in self.held:
+            self.held[i] = Compared(self.x[i].astype(np.uint64))
+        return self.held[i]
+
+
+def _may_be_alike(a: Block, i: int, b: Block, j: np.ndarray, similarity: float, by: str) -> np.ndarray:
+    """Those of the texts ``j`` of b that the counts let be linked with text i of a: by
+    words in a part of like counts of words ("w"), by shingles in one of shingles ("n")."""
+    if by == "w":
+        need = similarity * np.maximum(a.w[i], b.w[j]) - 1e-6
+        ok = np.minimum(a.w[i], b.w[j]) >= need
+    else:  # common ones number similarity / (1 + similarity) of both counts or more
+        need = similarity / (1 + similarity) * (a.n[i] + b.n[j]) - 1e-6
+        ok = (b.repeats[j] | a.repeats[i]) & (np.minimum(a.n[i], b.n[j]) >= need)
+    for x, y in zip(*((c.words if by == "w" else c.shingles) for c in (a, b))):
+        j, need = j[ok], need[ok]
+        ok = np.minimum(y[j], x[i]).sum(axis=1, dtype=np.int64) >= need
+    return j[ok]
+
+
+class Joined(dict):
+    """Components that the links found so far join: union-find over labels."""
+
+    def find(self, x: int) -> int:
+        while (up := self.get(x, x)) != x:
+            self[x] = x = self.get(up, up)
+        return x
+
+
+def _links_of(a: Block, b: Block, similarity: float, joined: Joined, by: str) -> Iterator[tuple[int, int]]:
+    """Links across components between all texts of two blocks, or within one given twice, as
+    far as they join components: every pair is ruled out by its counts, joined already or aligned."""
+    for i in range(len(a.node)):
+        j = np.arange(i + 1 if a is b else 0, len(b.node))
+        for j in _may_be_alike(a, i, b, j[~b.second[j]] if a.second[i] else j, similarity, by).tolist():
+            one, other = joined.find(a.label[i]), joined.find(b.label[j])
+            if one != other and alike(a.compared(i), b.compared(j), similarity):
+                joined[max(one, other)] = min(one, other)
+                yield a.node[i], b.node[j]
+
+
+def _linked_in_blocks(part: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) that join components among the nodes of each open part: all its pairs, whatever
+    its size. A part is cut into blocks of some ``BLOCK`` nodes, of which every two, and each with
+    itself, meet in a task; the pairs are formed there and never listed."""
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = part.select("key", "by", "second", "node", "label", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"), blocks.alias("blocks"))
+    own = own.select("key", "by", "second", "node", "label", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    units = own.select("key", "by", "second", "node", "label", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+    cols = ("key", "lo", "hi", "by", "block", "node", "label", "text", "second")
+    read = texts.join(units, "node").select(*cols)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, joined, at, kind, rows = Words(), Joined(), None, None, {}
+
+        def close() -> pa.RecordBatch:
+            held = {k: Block(v, known) for k, v in rows.items()}
+            found = list(_links_of(held[at[1]], held[at[2]], similarity, joined, kind)) if at and at[1] in held and at[2] in held else []
+            return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Words()
         for p in _parts(batches):
-            sets = [np.unique(shingles(words_of(t), known)).astype(np.int64) for t in p.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([p.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "s"])
-
-    sets = scratch.cut(held.select("node", "text").mapInArrow(split, "node long, s array<long>"))
-    each = sets.select("node", F.explode("s").alias("s"))
-    df = scratch.cut(each.groupBy("s").agg(F.count(F.lit(1)).alias("df")))
-    ranked = join_by_key(each, df, "s", "df").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "s"))).alias("l"))
-    # Common shingles number similarity / (1 + similarity) of both counts or more. Those of a pair whose first
-    # common one is at place i of n are n - i at most, so the other text has ``most`` shingles at most: a place
-    # that leaves no room even for itself held to the ratio is no prefix, and shingles of one text alone cost it room.
-    grow = (1 + similarity) / similarity
-    t = (ranked.select("node", F.size("l").alias("n"), F.posexplode(F.slice("l", F.lit(1), F.ceil(F.size("l") * (1 - similarity)).cast("int") + 1)).alias("i", "x"))
-         .filter("x.df > 1").select("node", F.col("n").cast("bigint").alias("n"), F.col("x.s").alias("s"),
-                                    F.floor((F.col("n") - F.col("i")) * grow - F.col("n") + 1e-6).alias("most"))
-         .filter(F.col("most") >= F.floor(F.col("n") * similarity)))
-    # only places that some other place of the shingle could pair with, by the bounds of both
-    room = scratch.cut(t.groupBy("s").agg(F.min("n").alias("least_n"), F.max("most").alias("most_n"), F.count(F.lit(1)).alias("k")).filter("k > 1"))
-    t = join_by_key(t, room, "s", "k").filter("most >= least_n and n <= most_n").select("node", "s", "n", "most")
-    t = scratch.cut(t.join(rest.select("node", "label"), "node"))
-    o = t.select("s", F.col("node").alias("lead"), F.col("n").alias("nl"), F.col("most").alias("ml"), F.col("label").alias("ll"))
-    both = (F.col("lead") < F.col("node")) & (F.col("label") != F.col("ll")) & (F.col("nl") <= F.col("most")) & (F.col("n") <= F.col("ml"))
-    return t.join(o, "s").filter(both & (F.least("n", "nl") >= similarity * F.greatest("n", "nl"))).select("lead", "node")
+            for key, lo, hi, by, block, *row in zip(*(p.column(c).to_pylist() for c in cols)):
+                if (key, lo, hi) != at:
+                    yield close()
+                    at, kind, rows = (key, lo, hi), by, {}
+                rows.setdefault(block, []).append(tuple(row))
+        yield close()
+
+    return read.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "block", "node").mapInArrow(compare, "a long, b long")
 
 
 def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
