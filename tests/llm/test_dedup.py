@@ -266,6 +266,41 @@ def test_links_by_words_in_large_open_parts_are_found(spark):
     assert [got[i] for i in ids] == want
 
 
+@pytest.mark.parametrize("block", [nd.BLOCK, 30])
+def test_open_parts_of_a_block_are_read_once(spark, monkeypatch, block):
+    """A common passage, own words and pairs: what reads texts is the first round, the pairs of small parts, rounds
+    of leaders only for parts of several blocks, and one read of each part in which there is something to compare."""
+    monkeypatch.setattr(nd, "BLOCK", block)
+    r, rows = random.Random(5), []
+    passage = sentence(r, 64)
+    for g in range(40):
+        own = sentence(r, 30, [f"w{g}x{k}" for k in range(9_999)]).split()
+        rows += [(10 * g, f"{passage} {' '.join(own)}"), (10 * g + 1, f"{passage} {' '.join('changed' if k % 5 == 2 else w for k, w in enumerate(own))}")]
+    asked, parts, cut, linked = [], [], nd.Scratch.cut, nd._linked_in_blocks
+
+    def noted(self, df):
+        out = cut(self, df)
+        if df.columns == ["lead", "node"]:
+            asked.append(out.count())
+        return out
+
+    def held(part, *more):
+        by = collections.defaultdict(list)
+        for x in part.collect():
+            by[x["key"]].append(x)
+        parts.extend(by.values())
+        return linked(part, *more)
+
+    monkeypatch.setattr(nd.Scratch, "cut", noted)
+    monkeypatch.setattr(nd, "_linked_in_blocks", held)
+    d = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], DOCS)
+    got = {x["doc_id"]: x["class_id"] for x in nd.near_duplicates(d).collect()}
+    assert [got[i] for i, _ in rows] == classes([t for _, t in rows], [i for i, _ in rows])
+    assert len(asked) == (2 if block > 1_000 else 4)
+    # no text repeats a shingle: none is compared by shingles; texts of a lower range alone meet there
+    assert parts and all({x["by"] for x in p} == {"w"} and not all(x["second"] for x in p) for p in parts)
+
+
 @pytest.mark.parametrize("block", [nd.BLOCK, 7])
 def test_blocks_rule_out_no_link(spark, monkeypatch, block):
     monkeypatch.setattr(nd, "BLOCK", block)

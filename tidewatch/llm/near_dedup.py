@@ -7,7 +7,7 @@ import math
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
-from functools import cached_property
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -365,13 +365,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
        that still hold several components are then split by size: linked
        texts are less than a ratio of 1 / ``similarity`` apart in words or in
        distinct shingles, so with ranges of that ratio, each overlapping the
-       next, they share a part. Later rounds look only at what still holds
-       several components: up to ``small`` nodes all remaining pairs are
-       compared; where all but ``small`` nodes are of one component, the
-       others are compared with all; else each node outside the component of
-       a leader drawn anew is compared with it.
-    3. Parts that are still open hold nodes that share a bucket without
-       being similar to the leaders. All pairs of such a part are compared,
+       next, they share a part. Only parts with something left to compare are
+       formed: of several components, not of texts alone that meet in the
+       range below, and by shingles only where a text repeats some. Up to
+       ``small`` nodes all remaining pairs are compared; where all but
+       ``small`` nodes are of one component, the others are compared with
+       all. Only parts larger than a block have further rounds, in which each
+       node outside the component of a leader drawn anew is compared with it.
+    3. All pairs of the parts that are still open are compared,
        whatever its size: it is cut into blocks of ``BLOCK`` nodes that meet
        two by two in tasks, where counts of words and shingles in bins rule
        most pairs out, pairs of one component are passed over and the others
@@ -486,10 +487,14 @@ def _classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
         scratch.drop(pairs, fans, asked)
         return links
 
-    def fits(*names: str):
-        """Whether the counts of words, or of distinct shingles, leave room for the similarity."""
+    def repeats(w: str, n: str):
+        """Whether a text has fewer distinct shingles than shingles."""
+        return F.col(n) < F.greatest(F.col(w) - (SHINGLE - 1), F.lit(1))
+
+    def fits(w: str, wl: str, n: str, nl: str):
+        """Whether the counts of words or, where one repeats shingles, of distinct shingles leave room for the similarity."""
         one = lambda x, y: F.least(x, y) >= similarity * F.greatest(x, y)
-        return one(*names[:2]) | one(*names[2:])
+        return one(w, wl) | one(n, nl) & (repeats(w, n) | repeats(wl, nl))
 
     def dealt(m: DataFrame, facts: DataFrame, how: str) -> DataFrame:
         """Members joined with one row per bucket (key, size): rows of a bucket go to parts, each with a copy of its row."""
@@ -518,12 +523,20 @@ def _classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     # linked texts are of one size class or of neighbouring ones, by words or by distinct shingles
     part = still_open(members.filter(F.col("size") > small))
     step = math.log(1 / similarity) + 1e-6
-    ranges = [F.struct(F.xxhash64("key", F.lit(c), (F.floor(F.log(c) / step) + k)).alias("key"), F.lit(c).alias("by"), F.lit(k == 1).alias("second"))
-              for c in ("w", "n") for k in (0, 1)]
-    sub = part.select(F.explode(F.array(*ranges)).alias("x"), "node", "w", "n", "label").select("x.*", "node", "w", "n", "label")
+    rows_of, facts = [], []
+    for c in ("w", "n"):
+        at, key = F.floor(F.log(c) / step), F.xxhash64("key", F.lit(c), "at").alias("key")
+        held = part.groupBy("key", at.alias("at")).agg(
+            F.max("size").alias("size"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.max(F.lit(True) if c == "w" else repeats("w", "n")).alias("asks"))
+        below = held.select("key", (F.col("at") + 1).alias("at"), F.col("lo").alias("lo_below"), F.col("hi").alias("hi_below"), F.col("asks").alias("asks_below"))
+        # nothing is to be compared among texts of one component, those that meet in the range below, or by shingles where no text repeats any
+        facts.append(held.join(below, ["key", "at"], "left").filter(
+            (F.least("lo", "lo_below") < F.greatest("hi", "hi_below")) & (F.col("asks") | F.coalesce("asks_below", F.lit(False)))).select(key, "size"))
+        rows_of += [part.withColumn("at", at + k).select(key, "size", F.lit(c).alias("by"), F.lit(k == 1).alias("second"), "node", "w", "n", "label") for k in (0, 1)]
+    sub = scratch.cut(dealt(reduce(DataFrame.unionByName, rows_of), reduce(DataFrame.unionByName, facts), "inner").drop("size"))
     several = sub.groupBy("key", "label").agg(F.count(F.lit(1)).alias("k")).groupBy("key").agg(
-        F.sum("k").alias("size"), F.max("k").alias("most"), F.max_by("label", F.struct("k", "label")).alias("main"), F.count(F.lit(1)).alias("labels"))
-    several = scratch.cut(several.filter("labels > 1").select("key", "size", "main", (F.col("size") - F.col("most")).alias("others")))
+        F.sum("k").alias("size"), F.max("k").alias("most"), F.max_by("label", F.struct("k", "label")).alias("main"))
+    several = scratch.cut(several.select("key", "size", "main", (F.col("size") - F.col("most")).alias("others")))
     sub = scratch.cut(join_by_key(sub, several, "key", "size").select("key", "size", "main", "others", "by", "second", "node", "w", "n", "label"))
     scratch.drop(part)
 
@@ -536,12 +549,16 @@ def _classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     # one component and a few others: each of those is compared with all
     one = sub.filter((F.col("size") > small) & (F.col("others") <= small))
     pairs = pairs.unionByName(with_leads(one, one.filter("label != main")).select("lead", "node"))
+    links.add(verify(pairs))
+    # a part that one block holds is read once, for all its pairs; leaders would read it as often as there are rounds
     large = sub.filter((F.col("size") > small) & (F.col("others") > small)).drop("label", "main", "others")
     for r in range(1, rounds):
-        part = still_open(large)
-        more = by_leader(part, F.xxhash64(F.lit(seed + r), "node", "key"))
-        links.add(verify(pairs.unionByName(more) if r == 1 else more))
+        part = still_open(large.filter(F.col("size") > BLOCK))
+        if found := part.limit(1).count():
+            links.add(verify(by_leader(part, F.xxhash64(F.lit(seed + r), "node", "key"))))
         scratch.drop(part)
+        if not found:
+            break
     part = still_open(large, "by", "second")
     if part.limit(1).count():
         links.add(scratch.cut(_linked_in_blocks(part, texts, similarity)))
